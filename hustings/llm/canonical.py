@@ -2,8 +2,8 @@
 
 Method: a *quick check* finds the segments of a text that aren't stable under
 normalisation; only those are normalised, each with the character before it as
-boundary context, and spliced into the unchanged rest.  The check runs in the
-JVM as one regular expression, so a text that passes it never reaches Python.
+boundary context, and spliced into the unchanged rest.  A coarser check runs in
+the JVM first, so a text of stable blocks alone never reaches Python.
 
 The form: canonically composed (NFC); full-width, half-width and presentation
 forms, ligatures and one-letter numerals as their ordinary characters; letters
@@ -52,6 +52,10 @@ def _letters() -> dict[str, str]:
 _LETTER = _letters()
 
 
+#: Blocks without any unstable character; texts within them pass a check of a few comparisons a character.
+STABLE_BLOCKS = ((0x9, 0xA), (0xD, 0xD), (0x20, 0x7E), (0xC0, 0x131), (0x14A, 0x17E), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+
+
 @lru_cache(maxsize=1 << 16)
 def _of_character(c: str) -> str:
     """What one character stands for, before composition."""
@@ -105,11 +109,19 @@ def unstable_ranges() -> tuple[tuple[int, int], ...]:
     return tuple((a, b) for a, b in ranges)
 
 
-def _class(java: bool) -> str:
-    one = (lambda cp: f"\\x{{{cp:x}}}") if java else (lambda cp: f"\\U{cp:08x}")
+@lru_cache(maxsize=1)
+def _class() -> str:
+    one = "\\U{:08x}".format
     return "".join(one(a) if a == b else f"{one(a)}-{one(b)}" for a, b in unstable_ranges())
 
 
+def outside_stable_blocks() -> str:
+    """The regular expression by which the JVM finds texts that may hold an unstable segment; a long class would cost microseconds a character."""
+    if any(a <= high and low <= b for low, high in STABLE_BLOCKS for a, b in unstable_ranges()):
+        raise AssertionError("a stable block holds an unstable character")
+    return "[^" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in STABLE_BLOCKS) + "]"
+
+
 @lru_cache(maxsize=4)
 def _segments(python_class: str) -> re.Pattern:
     # The character before belongs to the segment: a mark may compose with it.
@@ -118,7 +130,7 @@ def _segments(python_class: str) -> re.Pattern:
 
 def splice(text: str, python_class: str | None = None) -> str:
     """``text`` with its unstable segments normalised and the rest untouched."""
-    return _segments(python_class or _class(java=False)).sub(lambda m: normal_segment(m.group()), text)
+    return _segments(python_class or _class()).sub(lambda m: normal_segment(m.group()), text)
 
 
 def canonical_text(text: Column, single_line: bool = False) -> Column:
@@ -126,13 +138,13 @@ def canonical_text(text: Column, single_line: bool = False) -> Column:
 
     ``single_line``: tabs and line ends are blanks too, as in labels and names.
     """
-    ours = _class(java=False)
+    ours = _class()
 
     @F.pandas_udf("string")
     def spliced(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else splice(t, ours), na_action="ignore")
 
-    unstable = text.rlike(f"[{_class(java=True)}]")
+    unstable = text.rlike(outside_stable_blocks())
     form = F.when(unstable, spliced(F.when(unstable, text))).otherwise(text)
     form = F.regexp_replace(form, "[ \t\r\n]+" if single_line else " {2,}", " ")
     return F.trim(form)
