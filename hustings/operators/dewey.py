@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hustings.session import materialise
+
 NODE_FIELDS = "label array<int>, path string, keys array<string>, kind string, value string"
 _ARROW = pa.schema([("label", pa.list_(pa.int32())), ("path", pa.string()), ("keys", pa.list_(pa.string())), ("kind", pa.string()), ("value", pa.string())])
 _BATCH = 20_000
@@ -133,12 +135,16 @@ def parent_label(label):
 RECORD_KEYED = ("", "{}.districts", "{}[].districts")
 _RACE, _DISTRICT = r"\{\}(?:\[\])?", r"\.districts(?:\{\}|\[\])"
 RECORD_PATHS = {"race": _RACE, "district": _RACE + _DISTRICT, "name": _RACE + _DISTRICT + r"(?:\.candidates)?\[\]"}
+_MEMBERS = ("office", "scope", "n_districts", "seats", "max_votes", "block_vote")
+_MEMBER = rf"{_RACE}\.(?:{'|'.join(_MEMBERS)})"
+_NAMED = _RACE + r"\.districts\[\]\.district"
+_RAW = RECORD_PATHS["name"] + r"\.name_raw"
 
 
-def record_nodes(df: DataFrame, row_id: str = "record_id", text: str = "races") -> DataFrame:
-    """The nodes of election records that are a race, a district or a name, with the table they belong to."""
-    found = nodes(df, row_id, text, RECORD_KEYED, "|".join(RECORD_PATHS.values()))
-    table = F.when(F.col("path").rlike(f"^{RECORD_PATHS['race']}$"), "race").when(F.col("path").rlike(f"^{RECORD_PATHS['district']}$"), "district").otherwise("name")
+def _placed(found: DataFrame) -> DataFrame:
+    """The races, districts and names among the nodes, with their table and positions."""
+    within = lambda name: F.col("path").rlike(f"^{RECORD_PATHS[name]}$")
+    table = F.when(within("race"), "race").when(within("district"), "district").when(within("name"), "name")
     listed = F.col("path").startswith("{}[]")
     depth = F.when(listed, 2).otherwise(1)
     # A race is an object.  A district given by its key may be null or anything else, one given as an array's element not null; nor may a name.
@@ -157,35 +163,41 @@ def record_nodes(df: DataFrame, row_id: str = "record_id", text: str = "races")
     )
 
 
+def record_nodes(df: DataFrame, row_id: str = "record_id", text: str = "races") -> DataFrame:
+    """The nodes of election records that are a race, a district or a name, with the table they belong to."""
+    return _placed(nodes(df, row_id, text, RECORD_KEYED, "|".join(RECORD_PATHS.values())))
+
+
 def record_tables(df: DataFrame, row_id: str = "record_id", text: str = "races") -> dict[str, DataFrame]:
     """The flat tables race, district and name of election records.
 
     ``node`` is a row's label, ``parent`` the label of the row it belongs to, got by truncation: a district's is its race's
     node, a name's its district's.  (row_id, node) is a key, and (row_id, parent) refers to it.
     """
-    every = nodes(df, row_id, text, RECORD_KEYED)
+    # The records are walked once; what the tables need of them is kept in the shared folder.
+    every = materialise(nodes(df, row_id, text, RECORD_KEYED, "|".join([*RECORD_PATHS.values(), _MEMBER, _NAMED, _RAW])))
     label = lambda a: F.array_join(F.transform(a, lambda i: i.cast("string")), ".")
     listed = F.col("path").startswith("{}[]")
     depth = F.when(listed, 2).otherwise(1)
     at = lambda n: label(F.slice("label", F.lit(1), n))
-    flat = record_nodes(df, row_id, text)
+    flat = _placed(every)
     race = flat.filter("table = 'race'").select(row_id, at(depth).alias("node"), "race_key", "race_pos")
-    member = every.filter(F.col("path").rlike(rf"^{_RACE}\.(office|scope|n_districts|seats|max_votes|block_vote)$") & F.col("kind").isin("string", "number", "boolean"))
+    member = every.filter(F.col("path").rlike(f"^{_MEMBER}$") & F.col("kind").isin("string", "number", "boolean"))
     member = member.select(row_id, at(depth).alias("node"), F.regexp_extract("path", r"([a-z_]+)$", 1).alias("member"), "value")
-    attributes = member.groupBy(row_id, "node").pivot("member", ["office", "scope", "n_districts", "seats", "max_votes", "block_vote"]).agg(F.first("value"))
+    attributes = member.groupBy(row_id, "node").pivot("member", list(_MEMBERS)).agg(F.first("value"))
     race = race.join(attributes, [row_id, "node"], "left").select(
         row_id, "node", "race_key", "race_pos", "office", "scope",
         *(F.expr(f"try_cast(trim({c}) AS int)").alias(c) for c in ("n_districts", "seats", "max_votes")),
         F.expr("try_cast(block_vote AS boolean)").alias("block_vote"),
     )
-    district_name = every.filter(F.col("path").rlike(rf"^{_RACE}\.districts\[\]\.district$") & (F.col("kind") == "string")).select(row_id, at(F.size("label") - 1).alias("node"), F.col("value").alias("named"))
+    district_name = every.filter(F.col("path").rlike(f"^{_NAMED}$") & (F.col("kind") == "string")).select(row_id, at(F.size("label") - 1).alias("node"), F.col("value").alias("named"))
     district = (
         flat.filter("table = 'district'")
         .select(row_id, at(depth + 2).alias("node"), at(depth).alias("parent"), "district_pos", F.when(F.col("path").endswith("{}"), F.element_at("keys", -1)).alias("keyed"))
         .join(district_name, [row_id, "node"], "left")
         .select(row_id, "node", "parent", "district_pos", F.coalesce("keyed", "named").alias("district"))
     )
-    raw = every.filter(F.col("path").rlike(rf"^{RECORD_PATHS['name']}\.name_raw$") & (F.col("kind") == "string")).select(row_id, at(F.size("label") - 1).alias("node"), F.col("value").alias("raw"))
+    raw = every.filter(F.col("path").rlike(f"^{_RAW}$") & (F.col("kind") == "string")).select(row_id, at(F.size("label") - 1).alias("node"), F.col("value").alias("raw"))
     name = (
         flat.filter("table = 'name'")
         .select(row_id, label(F.col("label")).alias("node"), at(depth + 2).alias("parent"), "cand_pos", F.when(F.col("kind") == "string", F.col("value")).alias("text"))

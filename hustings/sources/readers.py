@@ -49,8 +49,9 @@ def json_documents(spark: SparkSession, path: str, schema: str = RAW_DOC) -> Dat
 def keyed_documents(spark: SparkSession, path: str, value_schema: str, meta: str = "_meta") -> DataFrame:
     """(key, value) of a JSON object with data keys, its metadata member left out."""
     require(spark, path)
-    entries = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string, {value_schema}>")).alias("key", "value"))
-    return entries.filter(F.col("key") != meta)
+    # The members are taken as text first: the metadata's own shape must not spoil the others.
+    entries = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string, string>")).alias("key", "text"))
+    return entries.filter(F.col("key") != meta).select("key", F.from_json("text", value_schema).alias("value"))
 
 
 def csv(spark: SparkSession, path: str, schema: str, nulls: Sequence[str] = ("", "NA"), strict: bool = True) -> DataFrame:
