@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.session import materialise
+from hustings.session import materialise, spread
 
 NODE_FIELDS = "label array<int>, path string, keys array<string>, kind string, value string"
 _ARROW = pa.schema([("label", pa.list_(pa.int32())), ("path", pa.string()), ("keys", pa.list_(pa.string())), ("kind", pa.string()), ("value", pa.string())])
@@ -122,7 +122,7 @@ def nodes(df: DataFrame, row_id: str, text: str, keyed: Iterable[str] = (), keep
             if rows:
                 yield flush()
 
-    return source.mapInArrow(label, f"row_id {id_type.simpleString()}, {NODE_FIELDS}").withColumnRenamed("row_id", row_id)
+    return spread(source).mapInArrow(label, f"row_id {id_type.simpleString()}, {NODE_FIELDS}").withColumnRenamed("row_id", row_id)
 
 
 def parent_label(label):

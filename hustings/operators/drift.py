@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hustings.session import materialise
+from hustings.operators.relational import control
+from hustings.session import materialise, spread
 
 PAYLOAD = "struct<name: string, shared: struct<fields: map<string, variant>>, wards: map<string, struct<fields: map<string, variant>>>>"
 #: The alternative types of a path; a set of them is the sum of their numbers.
@@ -48,7 +49,7 @@ def deliveries(df: DataFrame) -> DataFrame:
     delivered again and again gathers in no task.
     """
     body = F.from_json(json_body(F.col("payload")), PAYLOAD)
-    read = df.select("record_id", "census_id", "build_no", "received_at", body.alias("body")).filter(
+    read = spread(df.select("record_id", "census_id", "build_no", "received_at", "payload")).select("record_id", "census_id", "build_no", "received_at", body.alias("body")).filter(
         F.col("census_id").isNotNull() & F.col("build_no").isNotNull() & (F.col("body.wards").isNotNull() | F.col("body.shared").isNotNull())
     )
     last = Window.partitionBy("census_id", "build_no").orderBy(F.desc_nulls_last("received_at"), F.desc_nulls_last("record_id"))
@@ -78,6 +79,7 @@ def drift(df: DataFrame) -> DataFrame:
     ``retyped`` if the JSON types of the non-blank values differ, both builds having some.
     """
     delivered = materialise(deliveries(df))
+    # Keys and changes are joined to the payloads, so that the payloads aren't shuffled while the others are few; their number is counted.
     builds = delivered.select("census_id", "build_no").withColumn("next", F.lead("build_no").over(Window.partitionBy("census_id").orderBy("build_no")))
     builds = materialise(builds.withColumn("first", F.row_number().over(Window.partitionBy("census_id").orderBy("build_no")) == 1))
     # Each build's rows take part twice: as the later side of one comparison and as the older side of the next.
@@ -90,7 +92,7 @@ def drift(df: DataFrame) -> DataFrame:
             lambda x: x.isNotNull(),
         )
     )
-    sided = delivered.join(builds, ["census_id", "build_no"]).select("census_id", "body", sides.alias("side")).select("census_id", F.col("side.target").alias("build_no"), F.col("side.later").alias("later"), "body")
+    sided = delivered.join(control(builds), ["census_id", "build_no"]).select("census_id", "body", sides.alias("side")).select("census_id", F.col("side.target").alias("build_no"), F.col("side.later").alias("later"), "body")
     key = ["census_id", "build_no"]
 
     parted = lambda d: d.select(*key, "later", F.lit("shared").alias("half"), F.lit(None).cast("string").alias("ward"), F.explode("body.shared.fields").alias("member", "v")).unionByName(
@@ -112,6 +114,7 @@ def drift(df: DataFrame) -> DataFrame:
 
     # Values matter only where in one comparison fields go as well as come, and only in the wards of both builds.
     both = moved.groupBy(*key).agg(F.bool_or("later").alias("comes"), F.bool_or(~F.col("later")).alias("goes")).filter("comes AND goes").select(*key)
+    both = control(materialise(both))
     compared = sided.join(both, key, "left_semi")
     common = (
         compared.select(*key, "later", F.explode(F.map_keys("body.wards")).alias("ward"))
@@ -119,9 +122,9 @@ def drift(df: DataFrame) -> DataFrame:
     )
     common = materialise(common)
     full = parted(compared).select(*key, "later", "half", "member", "ward", kind.alias("kind"), F.to_json("v").alias("value")).filter("kind IS NOT NULL")
-    full = full.join(moved, [*key, "half", "member", "later"], "left_semi")
-    own = full.filter("half = 'wards'").join(common, [*key, "ward"], "left_semi")
-    shared = full.filter("half = 'shared'").drop("ward").join(common, key).select(own.columns)
+    full = full.join(control(moved), [*key, "half", "member", "later"], "left_semi")
+    own = full.filter("half = 'wards'").join(control(common), [*key, "ward"], "left_semi")
+    shared = full.filter("half = 'shared'").drop("ward").join(control(common), key).select(own.columns)
     signed = moved.join(both, key, "left_semi").join(_signature(own.unionByName(shared), [*key, "half", "member", "later"]), [*key, "half", "member", "later"], "left")
     signed = signed.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n", "total", "mix")})
     alike = [*key, "n", "total", "mix"]

@@ -13,7 +13,7 @@ from hustings.functions import names as N
 from hustings.operators import constraints as K
 from hustings.operators import relational as R
 from hustings.operators.dewey import record_tables
-from hustings.session import table
+from hustings.session import materialise, table
 
 # The stem and the name field of each race key, the order of race keys on a ballot, and the stems that are shared by all wards.
 STEM = {"mayor": "mayor", "ward": "ward", "atlarge": "atlarge", "regional councillor": "reg_coun", "deputy mayor": "dep_mayor"}
@@ -102,7 +102,8 @@ def rules(contest: DataFrame, municipality: DataFrame) -> list[K.Rule]:
 
 def _contest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     records = latest_records(table(spark, sf_dir, "municipality_doc"))
-    return records, contests(records)
+    # Asked several times over, so it is kept: one row per district.
+    return records, materialise(contests(records))
 
 
 QUERIES = {

@@ -55,3 +55,12 @@ def materialise(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a checkpoint in the shared folder, which survives the loss of an executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores if it is read in fewer, as a table of one small file is; else as it is.
+
+    For what costs much more to work on than to shuffle.  A large input has more partitions than cores and isn't touched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df._jdf.rdd().getNumPartitions() <= cores else df
