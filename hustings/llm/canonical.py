@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.session import materialise
+from hustings.session import materialise, spread
 
 # Letters that look like a Latin letter, after the confusables of Unicode Technical Standard 39.
 LOOKALIKES = {
@@ -158,7 +158,7 @@ def lookalike_pairs(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequ
     A row repeated under one id pairs as one.
     """
     s, c, x = ([f"{p}{i}" for i in range(len(n))] for p, n in (("s", same), ("c", looks), ("x", looks)))
-    rows = df.select(
+    rows = spread(df).select(
         F.col(row_id).alias("id"),
         *(F.col(n).alias(a) for n, a in zip(same, s)),
         *(F.col(n).alias(a) for n, a in zip(looks, x)),

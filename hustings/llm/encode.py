@@ -21,6 +21,8 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hustings.session import spread
+
 TOKENIZERS = "/opt/tokenizers"
 RANK_FILE = "byte_bpe_50k.tiktoken"
 RANK_BYTES = 16 << 20
@@ -97,14 +99,14 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizers
     """(doc_id, ids): one row for each row of ``df``; empty and null texts have an empty list.  Strings of special tokens are ordinary text."""
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(_encoded(df.sparkSession, tokenizers, name, False), f"doc_id {kind}, ids array<int>").withColumnRenamed("doc_id", doc_id)
+    return spread(source).mapInArrow(_encoded(df.sparkSession, tokenizers, name, False), f"doc_id {kind}, ids array<int>").withColumnRenamed("doc_id", doc_id)
 
 
 def token_counts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizers: str = TOKENIZERS, name: str = RANK_FILE) -> DataFrame:
     """(doc_id, n_tokens): the length in tokens of each row's text; 0 for empty and null texts."""
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(_encoded(df.sparkSession, tokenizers, name, True), f"doc_id {kind}, n_tokens bigint").withColumnRenamed("doc_id", doc_id)
+    return spread(source).mapInArrow(_encoded(df.sparkSession, tokenizers, name, True), f"doc_id {kind}, n_tokens bigint").withColumnRenamed("doc_id", doc_id)
 
 
 def decode(df: DataFrame, doc_id: str = "doc_id", ids: str = "ids", tokenizers: str = TOKENIZERS, name: str = RANK_FILE) -> DataFrame:
