@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hustings.session import materialise
+
 #: A control table (exclusions, overrides, remaps) up to this many rows is broadcast; its size is counted, not assumed.
 CONTROL_ROWS = 100_000
 
@@ -165,6 +167,19 @@ def numbered(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str
     return ranked.groupBy(*keys).agg(*(F.max(F.when(F.col("_at") == i, F.col(value))).alias(f"{name}{i}") for i in range(1, most + 1)))
 
 
+def positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Rows with their place from 1 in one order over the whole table, without one task that holds it.
+
+    The table is parted by ranges of the order, places are counted within each and moved by the sizes of those before it.
+    """
+    ranged = materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    offsets = ranged.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = ranged.withColumn("_own", own).join(F.broadcast(offsets), "_range")
+    return placed.withColumn(name, (F.col("_own") + F.col("_before")).cast("bigint")).drop("_range", "_own", "_before")
+
+
 def bag_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of either table that the other lacks, counting repeats, nulls being equal; none if both hold the same."""
     b = b.select(*a.columns)

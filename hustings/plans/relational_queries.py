@@ -44,10 +44,9 @@ def count(c: Column | None = None) -> Column:
     FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment""",
 )
 def contest_counts(spark, t):
-    """Counts per contest in their order; the window has one row per contest."""
+    """Counts per contest in their order."""
     counts = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name", "c_mktsegment").agg(count().alias("n"))
-    order = Window.orderBy(F.desc("n"), "n_name", "c_mktsegment")
-    return counts.withColumn("position", F.row_number().over(order).cast("bigint"))
+    return R.positions(counts, [F.desc("n"), F.asc("n_name"), F.asc("c_mktsegment")], "position")
 
 
 @query("q02_unnest_ordinal", "SELECT vec_id, (i - 1)::BIGINT AS pos, embedding[i] AS x FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)")
@@ -149,7 +148,7 @@ def denorm_guard(spark, t):
 )
 def positional_order(spark, t):
     """Rows in the order of their municipality's position, their own order kept within."""
-    position = t("municipality_type").select("census_id", F.row_number().over(Window.orderBy(F.asc_nulls_last("csdname"), "census_id")).cast("bigint").alias("pos"))
+    position = R.positions(t("municipality_type").select("census_id", "csdname"), [F.asc_nulls_last("csdname"), F.asc("census_id")], "pos").drop("csdname")
     place = F.row_number().over(Window.partitionBy("census_id").orderBy("row_id")).cast("bigint")
     return t("council_races").select("row_id", "census_id").join(position, "census_id", "left").withColumn("place", place)
 

@@ -242,9 +242,9 @@ def expected_empty(spark, t):
     """SELECT file_name, census_id, row_number() OVER (ORDER BY file_name, census_id, record_id) AS by_file, row_number() OVER (PARTITION BY census_id ORDER BY build_no DESC, record_id) AS newest FROM served_raw""",
 )
 def ordered_keys(spark, t):
-    by_file = F.row_number().over(Window.orderBy("file_name", "census_id", "record_id")).cast("bigint")
+    rows = R.positions(t("served_raw").select("file_name", "census_id", "record_id", "build_no"), [F.asc("file_name"), F.asc("census_id"), F.asc("record_id")], "by_file")
     newest = F.row_number().over(Window.partitionBy("census_id").orderBy(F.desc("build_no"), "record_id")).cast("bigint")
-    return t("served_raw").select("file_name", "census_id", "record_id", "build_no").select("file_name", "census_id", by_file.alias("by_file"), newest.alias("newest"))
+    return rows.select("file_name", "census_id", "by_file", newest.alias("newest"))
 
 
 @query(

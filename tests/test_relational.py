@@ -85,3 +85,10 @@ def test_constraints(spark):
     with pytest.raises(K.ConstraintError, match="u: 1 rows"):
         K.enforce(rules)
     assert K.enforce([rules[1], rules[4]]).count() == 2
+
+
+def test_positions(spark):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"), F.lit("x").alias("_own_name"))
+    got = R.positions(df, [F.desc("k")], "place").collect()
+    assert all(r["place"] == 1000 - r["k"] for r in got) and len(got) == 1000
+    assert R.positions(df.limit(0), [F.asc("k")], "place").collect() == []
