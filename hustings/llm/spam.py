@@ -67,6 +67,7 @@ _TAG = re.compile(r"(?<!\w)#\w[\w.-]*")
 _PRICE = re.compile(r"[$€£]\s?\d+[.,]\d\d\b|\bSKU\W?\d+", re.I)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _NUMBER = re.compile(r"(?<![\w$])\d[\d,.:]*(?!\w)")
+_YEAR = re.compile(r"(?:19|20)\d\d[,.:]?")
 _LINE = re.compile(r"[^\r\n]+")
 _SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'”’)]*\s+")
 _LABEL = re.compile(r"^[^:：]{1,60}[:：]\s")
@@ -134,10 +135,18 @@ def _lines(text: str) -> Iterator[list[str]]:
             yield parts
 
 
+def _varied(numbers: list[str]) -> bool:
+    """Whether numbers are those of data: three or more, and not nearly all the same one; all years count as one."""
+    if len(numbers) < 3:
+        return False
+    values = Counter("year" if _YEAR.fullmatch(n) else n.rstrip(".,:") for n in numbers)
+    return max(values.values()) <= 0.75 * len(numbers)
+
+
 class _Segment:
     """What a sentence, or a line without any, holds."""
 
-    __slots__ = ("size", "linked", "links", "tags", "tag_size", "price", "data", "words", "lower", "function")
+    __slots__ = ("size", "linked", "links", "tags", "tag_size", "price", "data", "row", "words", "lower", "function")
 
     def __init__(self, part: str):
         self.size = len("".join(part.split()))
@@ -151,8 +160,10 @@ class _Segment:
         tags = _TAG.findall(rest) if "#" in rest else []
         self.tags, self.tag_size = len(tags), sum(map(len, tags))
         self.price = bool(_PRICE.search(rest))
-        # Data, tables and lines with several numbers aren't made of keywords, whatever repeats in them.
-        self.data = not self.links and (part.lstrip()[:1] in '{}[]"' or '":' in part or len(_NUMBER.findall(rest)) >= 3 or "\t" in part.strip())
+        # Data and lines with several different numbers aren't made of keywords, whatever repeats in them; a row with tabs or in quotes
+        # isn't, unless it repeats itself.  One number over and over, and years, come with keywords as well: there the words decide.
+        self.row = not self.links and (part.lstrip()[:1] == '"' or "\t" in part.strip())
+        self.data = not self.links and (part.lstrip()[:1] in "{}[]" or '":' in part or _varied(_NUMBER.findall(rest)))
         if self.data and not self.price:
             rest = ""  # its words are no keywords, so they needn't be looked at
         elif not self.links:
@@ -223,12 +234,14 @@ def spam_share(text: str) -> float:
                 within = sum(a or b for a, b in zip([*twins, False], [False, *twins])) if twins else 0
                 # A sentence with its function words that repeats nothing in itself is prose, however often it is told.
                 sentence = n >= 8 and sum(s.function) >= 0.25 * n and within < 0.3 * n
-                if not sentence:
+                if s.row:
+                    flagged = n >= 5 and within >= 0.5 * n
+                elif not sentence:
                     flagged = bool(content) and again >= 0.6 * content and free <= 0.34 * n
                     flagged = flagged or 2 <= n <= 7 and sum(covered) >= 0.6 * n
                     flagged = flagged or n >= 5 and within >= 0.5 * n
-                flagged = flagged or 2 <= n <= 6 and not any(s.function) and sum(i in twice or i + 1 in twice and i + 1 < here.stop for i in here) >= 0.6 * n
-                if not flagged and n and not any(s.function):
+                flagged = flagged or not s.row and 2 <= n <= 6 and not any(s.function) and sum(i in twice or i + 1 in twice and i + 1 < here.stop for i in here) >= 0.6 * n
+                if not flagged and n and not s.row and not any(s.function):
                     listed = sum(w.islower() or w[0].isdigit() for w in s.words) >= 0.9 * n
             prose = not flagged and not listed and (prose or not s.links)
             if listed:
@@ -241,7 +254,7 @@ def spam_share(text: str) -> float:
                 spam += s.size + (gap if gap <= s.size else 0)
                 gap, bridged = 0, s.size
             else:
-                gap = s.size if s.size <= bridged and not s.data else 0
+                gap = s.size if s.size <= bridged and not (s.data or s.row) else 0
                 bridged = 0
     spam += run if run_words >= 8 else 0
     return spam / total if total else 0.0

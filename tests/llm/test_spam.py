@@ -91,6 +91,24 @@ def test_spam_is(kind):
     assert spam_share(spam(random.Random(kind), kind)) > 0.8
 
 
+def test_numbers_alone_dont_exempt_a_line():
+    rng = random.Random(5)
+    keys = ["ward map", "mayor debate", "voting hours"]
+    stuffed = [f"best {rng.choice(keys)} {rng.choice(TOWNS)} 2026" for _ in range(40)]
+    for text in (" ".join(stuffed), " | ".join(stuffed), ", ".join(["call 7 clerks", *stuffed]), "\t".join(stuffed), '"' + '" "'.join(stuffed) + '"'):
+        assert spam_share(text) > 0.8
+    assert spam_share(", ".join(rng.choice(["vote 2026", "ward councillor", "candidate list"]) for _ in range(40))) > 0.8
+    # Tables and counts on one line or with words that recur from row to row stay data.
+    for text in (
+        "; ".join(f"Ward {i}: {137 * i} votes cast" for i in range(1, 30)),
+        "; ".join(f"{t} Kova 0 for, 5 against" for t in TOWNS * 3),
+        "\n".join(f"{t}\tward\tacclaimed\tnot yet sworn" for t in TOWNS * 3),
+        "\n".join(f'"{t}","ward clerk","town hall"' for t in TOWNS * 3),
+        "[" + ", ".join(f'{{"ward": "2026", "office": "{t}"}}' for t in TOWNS * 3) + "]",
+    ):
+        assert spam_share(text) < 0.45
+
+
 def test_share_follows_the_mixture():
     rng = random.Random(4)
     text, bad = prose(rng, 8), spam(rng, 1)
