@@ -130,6 +130,16 @@ def normalise_text(spark, t):
     return plain.select("doc_id", F.md5(N.norm(F.col("text"))).alias("digest"))
 
 
+#: The characters of Unicode's White_Space, as a class of DuckDB's expressions, whose \\s knows those of ASCII only.
+BLANKS = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+@query("q46_normalise_all", f"SELECT doc_id, md5(trim(regexp_replace(coalesce(text, ''), '{BLANKS}+', ' ', 'g'), ' ')) AS digest FROM documents")
+def normalise_all(spark, t):
+    """White space of all texts, of every kind that Unicode knows."""
+    return t("documents").select("doc_id", F.md5(N.norm(F.col("text"))).alias("digest"))
+
+
 TAILS = [("Sam Roy, she/her", "Sam Roy", False, "Roy"), ("Sam ROY,THEY/them ", "Sam ROY", False, "ROY"), ("Al Bo (withdrawn)", "Al Bo (withdrawn)", True, "(withdrawn)"), ("Al, Bo", "Al, Bo", False, "Bo")]
 
 
