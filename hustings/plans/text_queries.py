@@ -27,6 +27,22 @@ def pair_expand(spark, t):
     return pairs.select("row_id", F.explode(N.label_parts(F.col("districts"))).alias("ward"))
 
 
+#: Cells that hold a pair (`1&5`), and joint labels (`Wards 1, 5`); the ends of a range (`Wards 1-8`) aren't all of its labels.
+PAIR, JOINT, RANGE = r"[0-9]\s*&\s*[0-9]", r"(?i)^\W*wards\W+[0-9]", r"[0-9]\s*[-\x{2010}-\x{2015}\x{2212}]\s*[0-9]"
+
+
+@query(
+    "q36_pair_expand_all",
+    f"""SELECT row_id, 'Ward ' || n AS ward FROM (SELECT row_id, unnest(regexp_extract_all(districts, '\\d+')) AS n FROM council_races
+    WHERE regexp_matches(districts, '{PAIR}') OR regexp_matches(districts, '{JOINT}') AND NOT regexp_matches(districts, '{RANGE}'))""",
+)
+def pair_expand_all(spark, t):
+    """Every cell of pairs or joint labels, however its parts are separated or quoted."""
+    cell = F.col("districts")
+    joint = t("council_races").filter(cell.rlike(PAIR) | cell.rlike(JOINT) & ~cell.rlike(RANGE))
+    return joint.select("row_id", F.explode(N.label_parts(cell)).alias("ward"))
+
+
 STEMS = {"mayor": "mayor", "ward": "coun_ward", "atlarge": "coun_atlarge", "regional councillor": "coun_reg", "deputy mayor": "dep_mayor"}
 
 

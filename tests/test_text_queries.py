@@ -29,3 +29,10 @@ def test_normalise_all_kinds_of_blanks(spark, tmp_path):
     got, told = both(spark, tmp_path, "q46_normalise_all", "documents", list(enumerate(texts)), "doc_id bigint, text string")
     want = [re.sub("[" + "".join(WHITE) + "]+", " ", x or "").strip(" ") for x in texts]
     assert got == told == sorted(((i, hashlib.md5(x.encode()).hexdigest()) for i, x in enumerate(want)), key=repr)
+
+
+def test_pairs_however_written(spark, tmp_path):
+    cells = ['"1&4", 3&2', "3&4\n9&6", "3&1\t4&2", " 3&4;1&2", "6&8;5&3;1&10;", "1&3／2&4；", "“1&8”; 5&6", "1 & 5", "1&2", "Wards 1, 5", "Wards 2; 3；6", "wards 1; 3&4"]
+    cells += ["Wards 1-8", "Wards 1–8; 9", "Elm; Oak 2", "Ward 3", "", None]
+    got, told = both(spark, tmp_path, "q36_pair_expand_all", "council_races", list(enumerate(cells)), "row_id bigint, districts string")
+    assert got == told == sorted(((i, f"Ward {n}") for i, c in enumerate(cells[:12]) for n in re.findall("[0-9]+", c)), key=repr)
