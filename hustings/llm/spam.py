@@ -77,9 +77,8 @@ def script_of(text: str) -> str | None:
     """The language that a text's script stands for; None for Latin script, which several languages share."""
     if text.isascii():
         return None
-    sample = text[:4000]
-    seen = {lang: len(script.findall(sample)) for lang, script in _SCRIPTS.items() if script.search(sample)}
-    least = 0.3 * len(_LETTER.findall(sample)) if seen else 0
+    seen = {lang: len(script.findall(text)) for lang, script in _SCRIPTS.items() if script.search(text)}
+    least = 0.3 * len(_LETTER.findall(text)) if seen else 0
     return next((lang for lang, letters in seen.items() if letters > least), None)
 
 
@@ -109,7 +108,8 @@ def measured(text: str, declared: str | None = None) -> tuple[str, list[float]]:
         tags += 12 * len(_PRICE.findall(rest)) * (rest.count(" / ") + rest.count(" | ") + rest.count(", ") > 2)
     script = script_of(rest)
     if script == "zh":
-        words, known = _SCRIPTS["zh"].findall(rest), _WORDS["zh"]
+        # Words of other scripts count beside the characters, so that keywords among Chinese sentences are seen.
+        words, known = _SCRIPTS["zh"].findall(rest) + _FAST_WORD.findall(_SCRIPTS["zh"].sub(" ", rest).lower()), _WORDS["zh"] | _ANY
     else:
         words, known = _FAST_WORD.findall(rest.lower()), _ANY
     counts, n = Counter(words), len(words)

@@ -109,6 +109,23 @@ def test_numbers_alone_dont_exempt_a_line():
         assert spam_share(text) < 0.45
 
 
+CHINESE = ["选举办公室说，{}的名单将在本周末以前贴在{}。", "一位居民问，为什么{}还没有修好，{}答应五月回答。", "{}没有人出席会议，所以关于{}的表决推迟到秋天。", "现在还不知道{}里的新投票站到时候是否对{}开放。"]
+
+
+def test_latin_keywords_behind_chinese_prose(spark):
+    rng = random.Random(6)
+    name = lambda: "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(rng.randint(2, 5)))
+    chinese = lambda n: "".join(rng.choice(CHINESE).format(name(), name()) for _ in range(n))
+    stuffed = lambda n: " ".join(f"best {rng.choice(['yard signs', 'custom banners', 'promo pens'])} {rng.choice(TOWNS)}" for _ in range(n))
+    late = chinese(180) + "\n" + stuffed(1_500)
+    assert measured(late, "zh")[0] != "zh" and measured(chinese(180), "zh")[0] == "zh"
+    rows = [(i, prose(rng, rng.randint(2, 30)), "en") for i in range(200)] + [(200 + i, chinese(rng.randint(3, 60)), "zh") for i in range(60)]
+    # The script of the second is Chinese by its letters over the whole text; more than half of its characters are keywords.
+    rows += [(1000, late, "zh"), (1001, chinese(60) + "\n" + stuffed(100), "zh"), (1002, chinese(200) + "\nSee the list of Oakton and Ashford.", "zh")]
+    assert measured(rows[-2][1], "zh")[0] == "zh" and spam_share(rows[-2][1]) > 0.5
+    assert {r["doc_id"] for r in spam_pages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()} == {1000, 1001}
+
+
 def test_share_follows_the_mixture():
     rng = random.Random(4)
     text, bad = prose(rng, 8), spam(rng, 1)
