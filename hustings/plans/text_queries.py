@@ -94,6 +94,16 @@ def ward_label_order(spark, t):
     return t("served_entry").select("census_id", "ward").distinct().withColumn("place", F.row_number().over(order).cast("bigint"))
 
 
+@query(
+    "q41_ward_label_collated",
+    """SELECT census_id, ward, row_number() OVER (PARTITION BY census_id ORDER BY ward = '99', ward COLLATE en, ward) AS place FROM (SELECT DISTINCT census_id, ward FROM served_entry)""",
+)
+def ward_label_collated(spark, t):
+    """Ward labels in the order of names, the sentinel last."""
+    order = Window.partitionBy("census_id").orderBy(F.col("ward") == "99", R.collated("ward"), "ward")
+    return t("served_entry").select("census_id", "ward").distinct().withColumn("place", F.row_number().over(order).cast("bigint"))
+
+
 @query(
     "q42_set_ops",
     """WITH a AS (SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 9950), b AS (SELECT s_nationkey AS k FROM supplier WHERE s_acctbal > 5000)

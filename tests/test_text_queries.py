@@ -36,3 +36,10 @@ def test_pairs_however_written(spark, tmp_path):
     cells += ["Wards 1-8", "Wards 1–8; 9", "Elm; Oak 2", "Ward 3", "", None]
     got, told = both(spark, tmp_path, "q36_pair_expand_all", "council_races", list(enumerate(cells)), "row_id bigint, districts string")
     assert got == told == sorted(((i, f"Ward {n}") for i, c in enumerate(cells[:12]) for n in re.findall("[0-9]+", c)), key=repr)
+
+
+def test_ward_labels_in_the_order_of_names(spark, tmp_path):
+    order = ["Écluse", "elm", "Elm", "Ward 1", "Ward 10", "Ward 2", "Zone", "99"]
+    rows = [("1", w) for w in reversed(order)] * 2 + [("2", "99"), ("2", "a")]
+    got, told = both(spark, tmp_path, "q41_ward_label_collated", "served_entry", rows, "census_id string, ward string")
+    assert got == told == sorted([("1", w, i) for i, w in enumerate(order, 1)] + [("2", "a", 1), ("2", "99", 2)], key=repr)
