@@ -22,7 +22,7 @@ Two kinds of cell are known:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,8 @@ from hustings.session import materialise
 
 #: Separators of lists, strongest first, and of sources.
 LIST_SEPARATORS = "\n\t;；|•·,，/"
+#: So many sets of separator kinds are tried to be left out: all of them for up to 16 kinds.
+TRIALS = 1 << 16
 SOURCE_SEPARATORS = "\n\t;；|,，"
 #: A word that says where a place lies; after a comma it often belongs to the name before it.
 DIRECTIONS = ("north", "south", "east", "west", "centre", "center", "nord", "sud", "est", "ouest")
@@ -125,13 +127,21 @@ def resolve_list(s: str, count: int | None) -> list[tuple[int, int]]:
     if count is None or count < 1 or len(everything) == count or not kinds:
         return everything
     order = sorted(kinds)  # the strongest first
-    if len(order) <= 12:
-        # Fewest and weakest kinds left out first.
+    # Fewest and weakest kinds left out first.  A cut left out takes at most one value away, so too few of them needn't be tried.
+    sizes, excess = [len(kinds[kind]) for kind in order], len(everything) - count
+
+    def without(left) -> list[tuple[int, int]]:
+        return _spans(s, sorted(i for n, kind in enumerate(order) if n not in left for i in kinds[kind]))
+
+    sets = (left for k in range(1, len(order) + 1) if sum(sorted(sizes)[-k:]) >= excess for left in combinations(range(len(order) - 1, -1, -1), k))
+    for left in islice(sets, TRIALS):
+        if sum(sizes[n] for n in left) >= excess and len(spans := without(left)) == count:
+            return spans
+    if 2 ** len(order) > TRIALS:
+        # What is beyond the trials is tried by strength alone.
         for k in range(1, len(order) + 1):
-            for left in combinations(range(len(order) - 1, -1, -1), k):
-                spans = _spans(s, sorted(i for n, kind in enumerate(order) if n not in left for i in kinds[kind]))
-                if len(spans) == count:
-                    return spans
+            if len(spans := without(range(len(order) - k, len(order)))) == count:
+                return spans
     return everything
 
 

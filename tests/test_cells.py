@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hustings.operators.cells import split_cells
+from hustings.operators.cells import resolve_list, split_cells
 
 LISTS = [
     ("Old Mill;Écluse;Foundry, East", 3, ["Old Mill", "Écluse", "Foundry, East"]),
@@ -61,3 +61,16 @@ def test_repeats_clashes_and_nothing(spark):
     assert got.count() == 6
     assert got.columns == ["row_id", "n_values", "pos", "val"]
     assert split_cells(df.limit(0), "row_id", "cell", "list").collect() == []
+
+
+def test_many_kinds_of_separators_fit_the_number():
+    seps = ["\n", "\t", ";", "；", "|", "•", "·", ",", "，", "/", "\n_", ";_", "；_", ",_"]
+    cell = "a" + "".join(sep + "a" for sep in seps)
+    assert len(resolve_list(cell, None)) == 15
+    for n in range(1, 16):
+        assert len(resolve_list(cell, n)) == n
+    # Every kind of separator there is, twice.  The weakest is left out first.
+    every = [c + b for c in "\n\t;；|•·,，/" for b in ("", "_")]
+    cell = "a" + "".join(sep + "a" for sep in every * 2)
+    assert len(resolve_list(cell, 39)) == 39 and len(resolve_list(cell, 21)) == 21
+    assert "_a/a" in {cell[a : a + k] for a, k in resolve_list(cell, 39)}
