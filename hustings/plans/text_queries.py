@@ -85,6 +85,16 @@ def collated_rank(spark, t):
     return spark.createDataFrame(NAMES, "name string").withColumn("rank", rank)
 
 
+@query(
+    "q40_collated_served",
+    """SELECT name_id, row_number() OVER (PARTITION BY census_id, ward, name_field ORDER BY cand_name COLLATE en NULLS FIRST, cand_name NULLS FIRST, name_id) AS rank FROM served_name""",
+)
+def collated_served(spark, t):
+    """The rank of every served name within its list."""
+    order = Window.partitionBy("census_id", "ward", "name_field").orderBy(R.collated("cand_name"), "cand_name", "name_id")
+    return t("served_name").select("name_id", F.row_number().over(order).cast("bigint").alias("rank"))
+
+
 @query(
     "q41_ward_label_order",
     """SELECT census_id, ward, row_number() OVER (PARTITION BY census_id ORDER BY ward = '99', ward) AS place FROM (SELECT DISTINCT census_id, ward FROM served_entry)""",
@@ -242,6 +252,17 @@ def newest_version(spark, t):
     return newest(spark.createDataFrame(FILES, "file_name string"))
 
 
+@query(
+    "q53_newest_served",
+    r"""SELECT file_name, built, version FROM (SELECT file_name, regexp_extract(file_name, '-(\d{4}-\d{2}-\d{2})-v\d+\.js$', 1)::DATE AS built, regexp_extract(file_name, '-v(\d+)\.js$', 1)::BIGINT AS version
+    FROM (SELECT DISTINCT file_name FROM served_raw WHERE regexp_matches(file_name, '-\d{4}-\d{2}-\d{2}-v\d+\.js$'))) ORDER BY built DESC, version DESC, file_name DESC LIMIT 1""",
+)
+def newest_served(spark, t):
+    from hustings.sources.readers import newest
+
+    return newest(t("served_raw"))
+
+
 @query("q54_js_literal_escape", f"SELECT raw, replace(replace(replace(raw, '(', '\\('), ')', '\\)'), '''', '\\''') AS escaped FROM {literal([('Roy (Ann)',), (chr(39) + 'x' + chr(39),), ('plain',), (None,)], 'raw')}")
 def js_literal_escape(spark, t):
     rows = spark.createDataFrame([("Roy (Ann)",), ("'x'",), ("plain",), (None,)], "raw string")

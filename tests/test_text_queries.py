@@ -43,3 +43,13 @@ def test_ward_labels_in_the_order_of_names(spark, tmp_path):
     rows = [("1", w) for w in reversed(order)] * 2 + [("2", "99"), ("2", "a")]
     got, told = both(spark, tmp_path, "q41_ward_label_collated", "served_entry", rows, "census_id string, ward string")
     assert got == told == sorted([("1", w, i) for i, w in enumerate(order, 1)] + [("2", "a", 1), ("2", "99", 2)], key=repr)
+
+
+def test_served_names_and_newest_file(spark, tmp_path):
+    names = ["ÉCLUSE, Zoë", "ECLUSE, Zoe", "MACKAY, B", "Mackay, A", None]
+    rows = [(i, "1", "Elm", "mayor", n) for i, n in enumerate(names)] + [(9, "1", "Oak", "mayor", "ZZ, 1")]
+    got, told = both(spark, tmp_path, "q40_collated_served", "served_name", rows, "name_id bigint, census_id string, ward string, name_field string, cand_name string")
+    assert got == told and dict(got) == {4: 1, 1: 2, 0: 3, 3: 4, 2: 5, 9: 1}
+    files = [(f"c-2026-08-{d}-v{v}.js",) for d, v in ((17, 99), (18, 9), (18, 10), (18, 10))] + [("other.js",), (None,)]
+    got, told = both(spark, tmp_path, "q53_newest_served", "served_raw", files, "file_name string")
+    assert got == told and [r[0] for r in got] == ["c-2026-08-18-v10.js"]
