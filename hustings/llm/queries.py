@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hustings.llm.canonical import canonical_text, lookalike_pairs
 from hustings.llm.encode import encode, token_counts
 from hustings.llm.packing import length_batches, pack
-from hustings.llm.spam import spam_pages
+from hustings.llm.spam import spam_pages, spam_steps
 from hustings.session import table
 
 
@@ -43,7 +43,12 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam_pages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_canonical": p1_canonical, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_batches": p7_batches, "p8_found": p8_found}
+def p8_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents each step of the search for spam pages leaves."""
+    return spam_steps(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_canonical": p1_canonical, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_batches": p7_batches, "p8_found": p8_found, "p8_steps": p8_steps}
 
 #: None of them can be said in SQL; tests hold them against brute force, exact round trips and labelled texts.
 ORACLE: dict[str, str] = {}

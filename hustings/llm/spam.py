@@ -4,25 +4,31 @@ Method: the *robust Mahalanobis distance* of each text over features of density,
 entropy, repetition and function words, per language; texts far out in the
 directions of spam are flagged.  Centre and scale are medians and median
 deviations, the scatter comes from clipped scores, all over the whole corpus.
-The flagged texts are then read closely: a case is a text more than half of
-whose characters stand in repeated or strung-together keywords, lists of links
-or product tags.
-
-The corpus is scanned twice and no text is ever shuffled: the first scan gives
-the features, which are aggregated to one small model per language, the second
-one flags and reads.
+Data, tables and citations deviate as well, but in directions of their own
+(numbers, structure), so the share of a deviation that points to spam decides on
+them.  An exact check follows: of the flagged texts those are cases more than
+half of whose characters stand in repeated or strung-together keywords, lists of
+links or product tags.  ``spam_steps`` tells how many texts each step leaves.
+
+No text is ever shuffled, joined or kept.  One scan takes the frequent short
+words of languages without a fixed list, one the features, which are aggregated
+to a small model per language, and one measures again, flags and reads.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from functools import lru_cache
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.session import materialise, spread
@@ -36,16 +42,22 @@ FUNCTION_WORDS = {
     "pa": "ਦਾ ਦੇ ਦੀ ਦੀਆਂ ਨੂੰ ਨੇ ਤੇ ਅਤੇ ਵਿੱਚ ਵਿਚ ਹੈ ਹਨ ਸੀ ਇਹ ਉਹ ਤੋਂ ਨਾਲ ਲਈ ਕਿ ਵੀ ਇਸ ਉਸ ਹੀ ਜੋ ਕਰ ਨਹੀਂ ਇੱਕ ਹੋ ਗਿਆ",
     "zh": "的 了 在 是 和 有 不 这 那 我 他 她 们 就 也 都 而 及 与 或 被 把 对 从 到 为 以 由 其 之 于 将 已 所 该 并 但",
 }
-_WORDS = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
-_ANY = frozenset().union(*(w for lang, w in _WORDS.items() if lang != "zh"))
-
-FEATURES = ("links", "tags", "function_words", "repetition", "entropy", "sentences")
+#: The listed languages of a script; a text of another script, or of a language declared otherwise, takes its words from the corpus.
+LISTED = {"latin": ("en", "fr", "es"), "cyrillic": ("uk",), "gurmukhi": ("pa",), "cjk": ("zh",)}
+#: Scripts written without blanks: each character counts as a word.
+SPACELESS = frozenset({"cjk", "hiragana", "katakana", "thai", "lao", "khmer", "myanmar", "tibetan"})
+#: Words of a language without a list: so many of the most frequent ones of up to so many letters, each in this share of its texts, of at least so many texts.
+LEARNED_WORDS, SHORT, COMMON, LEAST_TEXTS = 80, 5, 0.1, 20
+#: A text is of a listed language if this share of its words is among that language's function words.
+RECOGNISED = 0.12
+
+FEATURES = ("links", "tags", "function_words", "repetition", "entropy", "sentences", "numbers", "structure")
 #: The sign of each feature's deviation that points to spam.
-DIRECTIONS = (1.0, 1.0, -1.0, 1.0, -1.0, -1.0)
+DIRECTIONS = (1.0, 1.0, -1.0, 1.0, -1.0, -1.0, -1.0, -1.0)
 #: Robust distances beyond this are outlying; scores are clipped at CLIP for the scatter.
-CUTOFF, CLIP = 3.5, 2.5
+CUTOFF, CLIP = 5.0, 2.5
 #: The part of a deviation that lies in the directions of spam must make up this share of its length.
-DIRECTED = 0.5
+DIRECTED = 0.75
 #: Languages with few texts lean on the model of all texts, as if that had so many texts of theirs.
 LEANING = 200.0
 #: Least scale of a feature.
@@ -53,78 +65,130 @@ LEAST_SCALE = 0.03
 #: A case has more than half of its characters in spam.  The reading leaves out pieces cut off where spam meets other text, so
 #: what it measures lies a little below; texts that are no cases lie well below.
 SHARE = 0.45
-#: Ids of flagged texts up to this many bytes are broadcast to the second scan; more of them are joined by a shuffle.
-BROADCAST_BYTES = 8 << 20
+#: The model of all texts, which also judges texts of no known language.
+ALL = "*"
+
+
+@lru_cache(maxsize=1)
+def _marks() -> str:
+    """Combining marks as a class; they belong to words in many scripts."""
+    found = (cp for cp in range(0x300, sys.maxunicode + 1) if unicodedata.category(chr(cp)) in ("Mn", "Mc"))
+    runs = ([cp for _, cp in run] for _, run in groupby(enumerate(found), lambda x: x[1] - x[0]))
+    return "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs)
+
 
 _URL = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]]+|(?<![\w@.])(?:[\w-]+\.)+[a-z]{2,}/[^\s<>\"')\]]*", re.I)
 _HOST = re.compile(r"\.[a-z]{2,}/", re.I)
-_SCRIPTS = {"zh": re.compile("[\u4e00-\u9fff]"), "pa": re.compile("[\u0a00-\u0a7f]"), "uk": re.compile("[\u0400-\u04ff]")}
+_OTHER_SCRIPT = re.compile("[\u0370-\u1dff\u2c00-\ufdff\ufe70-\uffdc\U00010000-\U0001ffff\U00020000-\U0003ffff]")
 _LETTER = re.compile(r"[^\W\d_]")
 _FAST_WORD = re.compile(r"\w+")
-_ANCHOR = re.compile(r"<a\s[^>]*>[^<]*</a>|\[[^\]\n]{1,80}\]\([^)\s]+\)", re.I)
-_MARKUP = re.compile(r"<[^<>\n]{1,200}>")
+_COMBINING = re.compile("[\u0300-\u036f]")
+_MARKED_WORD = re.compile(rf"[\w{_marks()}]+")
+_SPACELESS = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
+_ANCHOR = re.compile(r"<a\s[^<>]*>[^<]*</a>|\[[^\[\]\n]+\]\([^()\s]+\)", re.I)
+_MARKUP = re.compile(r"<[^<>\n]+>")
 _TAG = re.compile(r"(?<!\w)#\w[\w.-]*")
 _PRICE = re.compile(r"[$€£]\s?\d+[.,]\d\d\b|\bSKU\W?\d+", re.I)
-_WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+_WORD = re.compile(rf"[^\W_][^\W_{_marks()}]*(?:['’][^\W_]+)*")
 _NUMBER = re.compile(r"(?<![\w$])\d[\d,.:]*(?!\w)")
 _YEAR = re.compile(r"(?:19|20)\d\d[,.:]?")
 _LINE = re.compile(r"[^\r\n]+")
-_SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'”’)]*\s+")
-_LABEL = re.compile(r"^[^:：]{1,60}[:：]\s")
+_SENTENCE = re.compile(r"(?<=[.!?…。！？।])[\"'”’)]*\s+")
+_ENDED = re.compile(r"[.!?…。！？।][\"'”’)]*\s*$")
+_LABEL = re.compile(r"^[^:：]+[:：]\s")
 
+@lru_cache(maxsize=1 << 12)
+def _script_of_character(c: str) -> str:
+    return unicodedata.name(c, "latin").split()[0].split("-")[0].lower()
 
-def script_of(text: str) -> str | None:
-    """The language that a text's script stands for; None for Latin script, which several languages share."""
-    if text.isascii():
-        return None
-    seen = {lang: len(script.findall(text)) for lang, script in _SCRIPTS.items() if script.search(text)}
-    least = 0.3 * len(_LETTER.findall(text)) if seen else 0
-    return next((lang for lang, letters in seen.items() if letters > least), None)
+
+class Vocabulary:
+    """Function words by script and language: the fixed lists, and what was learned of other languages."""
+
+    def __init__(self, learned: Mapping[tuple[str, str], frozenset[str]] | None = None):
+        self.languages = {script: {lang: frozenset(FUNCTION_WORDS[lang].split()) for lang in langs} for script, langs in LISTED.items()}
+        for (script, lang), words in (learned or {}).items():
+            self.languages.setdefault(script, {}).setdefault(lang, words)
+        union = lambda scripts: frozenset(w for script in scripts for words in self.languages[script].values() for w in words)
+        #: Function words of all languages written with blanks, and those that count in a text of each script.
+        self.spaced = union(script for script in self.languages if script not in SPACELESS)
+        self.known = {script: self.spaced | (union([script]) if script in SPACELESS else frozenset()) for script in self.languages}
+
+    def of(self, script: str) -> frozenset[str]:
+        return self.known.get(script, self.spaced)
 
 
-def language_of(script: str | None, counts: Counter, declared: str | None) -> str:
-    """The language by script, else by function words, else as declared, else English."""
-    if script:
-        return script
-    hits = {lang: sum(counts[w] for w in counts.keys() & _WORDS[lang]) for lang in ("en", "fr", "es")}
-    best = max(hits, key=hits.get)
-    short = (declared or "").strip().lower()[:2]
-    if hits[best] < 3 or hits.get(short, -1) == hits[best]:
-        return short if short in hits else "en"
-    return best
+LISTED_WORDS = Vocabulary()
 
 
-def measured(text: str, declared: str | None = None) -> tuple[str, list[float]]:
+def script_of(text: str) -> str:
+    """The script that most of a text's letters are of, judged over the whole text; Latin unless three in ten are of another."""
+    if text.isascii():
+        return "latin"
+    others = Counter(_OTHER_SCRIPT.findall(text))
+    letters = Counter()
+    for c, n in others.items():
+        if c.isalpha():
+            letters[_script_of_character(c)] += n
+    if not letters:
+        return "latin"
+    script, n = max(letters.items(), key=lambda x: (x[1], x[0]))
+    return script if n > 0.3 * len(_LETTER.findall(text)) else "latin"
+
+
+def _code(declared: str | None) -> str:
+    return (declared or "").strip().lower()[:2]
+
+
+def language_of(script: str, counts: Counter, n: int, declared: str | None, vocabulary: Vocabulary = LISTED_WORDS) -> str | None:
+    """The language of the script whose function words a text has most of, else the declared one, else None: no language is a default."""
+    langs = vocabulary.languages.get(script, {})
+    if len(langs) == 1 and script in LISTED:
+        return next(iter(langs))
+    hits = {lang: sum(counts[w] for w in counts.keys() & words) for lang, words in langs.items()}
+    short = _code(declared)
+    best = max(hits, key=lambda lang: (hits[lang], lang == short), default=None)
+    if best is not None and hits[best] >= max(3, RECOGNISED * n):
+        return best
+    return short if short in langs else None
+
+
+def _counted(text: str, script: str) -> Counter:
+    """The words of a text in lower case; characters of spaceless scripts count singly, beside the words of others."""
+    if script in SPACELESS:
+        return Counter(_SPACELESS.findall(text) + _FAST_WORD.findall(_SPACELESS.sub(" ", text).lower()))
+    return Counter((_FAST_WORD if script == "latin" and (text.isascii() or not _COMBINING.search(text)) else _MARKED_WORD).findall(text.lower()))
+
+
+def measured(text: str, declared: str | None = None, vocabulary: Vocabulary = LISTED_WORDS) -> tuple[str | None, list[float]]:
     """The language and the features of a text, each feature between 0 and 1.  The text is gone over once."""
     size = len(text) or 1
     links = tags = 0
     rest = text
     if "/" in text and ("://" in text or "www." in text or _HOST.search(text)):
-        rest, _ = _URL.subn(" ", text)
-        links = size - len(rest)
+        rest, links = _URL.subn(" ", text)
     if "#" in rest:
         tags += sum(map(len, _TAG.findall(rest)))
-    if "SKU" in rest or "$" in rest and (" / " in rest or " | " in rest or ", $" in rest):
-        tags += 12 * len(_PRICE.findall(rest)) * (rest.count(" / ") + rest.count(" | ") + rest.count(", ") > 2)
+    if "SKU" in rest or "$" in rest and (" / " in rest or " | " in rest or ", $" in rest or "; $" in rest):
+        tags += 12 * len(_PRICE.findall(rest)) * (rest.count(" / ") + rest.count(" | ") + rest.count(", ") + rest.count("; ") > 2)
     script = script_of(rest)
-    if script == "zh":
-        # Words of other scripts count beside the characters, so that keywords among Chinese sentences are seen.
-        words, known = _SCRIPTS["zh"].findall(rest) + _FAST_WORD.findall(_SCRIPTS["zh"].sub(" ", rest).lower()), _WORDS["zh"] | _ANY
-    else:
-        words, known = _FAST_WORD.findall(rest.lower()), _ANY
-    counts, n = Counter(words), len(words)
-    language = language_of(script, counts, declared)
-    dense = [min(1.0, links / size), min(1.0, tags / size)]
+    counts = _counted(rest, script)
+    n = counts.total()
+    language = language_of(script, counts, n, declared, vocabulary)
+    dense = [links / (links + n) if links else 0.0, min(1.0, tags / size)]
     if n < 2:
-        return language, [*dense, 0.0 if links or tags else 0.3, 0.0, 1.0, 0.0 if links or tags else 1.0]
+        return language, [*dense, 0.0 if links or tags else 0.3, 0.0, 1.0, 0.0 if links or tags else 1.0, 0.0, 0.0]
+    known = vocabulary.of(script)
     common = counts.keys() & known
     function = sum(map(counts.__getitem__, common))
     content = n - function
     repetition = 1.0 - math.log(len(counts) - len(common) + 1) / math.log(content + 1) if content else 0.0
     each = np.fromiter(counts.values(), np.float64, len(counts))
     entropy = (math.log(n) - float(each @ np.log(each)) / n) / math.log(n)
-    ends = sum(map(rest.count, (". ", ".\n", "? ", "! ", "。", ".\r"))) + rest.rstrip().endswith((".", "?", "!"))
-    return language, [*dense, function / n, repetition, entropy, min(1.0, ends * 12 / n)]
+    ends = sum(map(rest.count, (". ", ".\n", "? ", "! ", "。", ".\r", "। "))) + rest.rstrip().endswith((".", "?", "!", "।"))
+    numbers = sum(v for w, v in counts.items() if "0" <= w < ":")
+    structure = 0 if links else sum(map(rest.count, ("\t", '"', "{", "}", ": ")))
+    return language, [*dense, function / n, repetition, entropy, min(1.0, ends * 12 / n), numbers / n, min(1.0, structure / n)]
 
 
 def _lines(text: str) -> Iterator[list[str]]:
@@ -146,9 +210,9 @@ def _varied(numbers: list[str]) -> bool:
 class _Segment:
     """What a sentence, or a line without any, holds."""
 
-    __slots__ = ("size", "linked", "links", "tags", "tag_size", "price", "data", "row", "words", "lower", "function")
+    __slots__ = ("size", "linked", "links", "tags", "tag_size", "price", "data", "row", "formed", "told", "words", "lower", "function")
 
-    def __init__(self, part: str):
+    def __init__(self, part: str, known: frozenset[str]):
         self.size = len("".join(part.split()))
         anchors = _ANCHOR.findall(part) if "](" in part or "<a" in part or "<A" in part else []
         rest = _ANCHOR.sub(" ", part) if anchors else part
@@ -167,11 +231,18 @@ class _Segment:
         if self.data and not self.price:
             rest = ""  # its words are no keywords, so they needn't be looked at
         elif not self.links:
-            rest = _LABEL.sub("", rest)  # what a list's entries are labelled with repeats by nature
+            # What a list's entries are labelled with repeats by nature; a label is no longer than what it labels.
+            label = _LABEL.match(rest)
+            rest = rest[label.end() :] if label and 2 * label.end() <= len(rest) else rest
         # Keywords are disguised by counters: the letters alone count.
         self.words = [w for w in (w.rstrip("0123456789") for w in _WORD.findall(rest)) if w]
         self.lower = [w.lower() for w in self.words]
-        self.function = [w in _ANY for w in self.lower]
+        self.function = [w in known for w in self.lower]
+        # The form of a sentence: an end mark, no small letter at the start, hardly a word twice.
+        start = part.lstrip("-*•–—\"'“‘«(¡¿ \t")[:1]
+        long = len(self.words) >= 5 or len(_SPACELESS.findall(rest)) >= 10
+        self.formed = long and bool(_ENDED.search(part)) and start.isalpha() and not start.islower() and len(set(self.lower)) >= 0.8 * len(self.lower)
+        self.told = " ".join(self.lower) if self.formed else ""
 
 
 def _recurrent(places: dict, times: int, window: int) -> set[int]:
@@ -185,9 +256,16 @@ def _recurrent(places: dict, times: int, window: int) -> set[int]:
     return out
 
 
-def spam_share(text: str) -> float:
-    """The share of a text's characters, blanks apart, that stand in keywords, link lists or product tags."""
-    lines = [[_Segment(part) for part in parts] for parts in _lines(text)]
+def spam_share(text: str, vocabulary: Vocabulary = LISTED_WORDS) -> float:
+    """The share of a text's characters, blanks apart, that stand in keywords, link lists or product tags.
+
+    Where a text has hardly a function word of a known language, sentences are told by their form instead.
+    """
+    known = vocabulary.of(script_of(text))
+    lines = [[_Segment(part, known) for part in parts] for parts in _lines(text)]
+    every = [s for line in lines for s in line]
+    foreign = sum(map(sum, (s.function for s in every))) < RECOGNISED * sum(len(s.words) for s in every)
+    told = Counter(s.told for s in every if s.formed)
     singles: dict[str, list[int]] = {}
     pairs: dict[tuple[str, str], list[int]] = {}
     at = links = 0
@@ -234,14 +312,16 @@ def spam_share(text: str) -> float:
                 within = sum(a or b for a, b in zip([*twins, False], [False, *twins])) if twins else 0
                 # A sentence with its function words that repeats nothing in itself is prose, however often it is told.
                 sentence = n >= 8 and sum(s.function) >= 0.25 * n and within < 0.3 * n
+                # So is one of an unknown language by its form, unless it varies what stands around it; told again as a whole it doesn't.
+                sentence = sentence or foreign and s.formed and within < 0.2 * n and (sum(covered) < 0.5 * n or told[s.told] > 1)
                 if s.row:
                     flagged = n >= 5 and within >= 0.5 * n
                 elif not sentence:
                     flagged = bool(content) and again >= 0.6 * content and free <= 0.34 * n
                     flagged = flagged or 2 <= n <= 7 and sum(covered) >= 0.6 * n
                     flagged = flagged or n >= 5 and within >= 0.5 * n
-                flagged = flagged or not s.row and 2 <= n <= 6 and not any(s.function) and sum(i in twice or i + 1 in twice and i + 1 < here.stop for i in here) >= 0.6 * n
-                if not flagged and n and not s.row and not any(s.function):
+                flagged = flagged or not (s.row or sentence) and 2 <= n <= 6 and not any(s.function) and sum(i in twice or i + 1 in twice and i + 1 < here.stop for i in here) >= 0.6 * n
+                if not (flagged or sentence) and n and not s.row and not any(s.function):
                     listed = sum(w.islower() or w[0].isdigit() for w in s.words) >= 0.9 * n
             prose = not flagged and not listed and (prose or not s.links)
             if listed:
@@ -260,19 +340,67 @@ def spam_share(text: str) -> float:
     return spam / total if total else 0.0
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, declared = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        each = [measured(t, d) for t, d in zip(texts, declared)]
-        langs, values = [x for x, _ in each], np.array([v for _, v in each], np.float64).reshape(-1, len(FEATURES))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), *(pa.array(np.ascontiguousarray(c)) for c in values.T)], names=["doc_id", "language", *FEATURES])
+def _source(df: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    return rows.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"(?U)\S"))
 
 
-def text_features(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """(doc_id, language, features): of every text that isn't null or blank."""
-    source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"(?U)\S"))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return spread(source).mapInArrow(_featured, f"doc_id {kind}, language string, " + ", ".join(f"{f} double" for f in FEATURES))
+def _unlisted(text: Column, lang: Column) -> Column:
+    """Whether a text may be of a language without a fixed list: declared so, or with letters of another script.  A coarse test in the JVM."""
+    codes = [lang_code for langs in LISTED.values() for lang_code in langs]
+    other = "[\\x{370}-\\x{3ff}\\x{530}-\\x{9ff}\\x{a80}-\\x{1dff}\\x{3040}-\\x{30ff}\\x{a490}-\\x{d7a3}]"
+    code = F.substring(F.lower(F.trim(lang)), 1, 2)
+    return ((code != "") & ~code.isin(*codes)) | text.rlike(other)
+
+
+def learned_words(source: DataFrame) -> dict[tuple[str, str], frozenset[str]]:
+    """{(script, language): words}: the frequent short words of languages without a fixed list, counted by text over the whole corpus.
+
+    A language is a script and, for the scripts that lists are given for, the code a text is declared with.  Texts whose
+    words are those of a listed language are left out.  At most ``LEARNED_WORDS`` words a language reach the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[tuple[str, str], Counter] = {}
+            for text, declared in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                script = script_of(text)
+                counts = _counted(text, script)
+                code = _code(declared) if script in LISTED else ALL
+                if not code or code in LISTED.get(script, ()) or language_of(script, counts, counts.total(), None):
+                    continue
+                here = seen.setdefault((script, code), Counter())
+                here.update(w for w in counts if len(w) <= SHORT and w.isalpha())
+                here[""] += 1  # the number of texts
+            rows = [(script, code, w, n) for (script, code), words in seen.items() for w, n in words.items()]
+            yield pa.RecordBatch.from_pylist([dict(zip(("script", "code", "word", "n"), r)) for r in rows], schema=_COUNTED)
+
+    counted = spread(source.filter(_unlisted(F.col("text"), F.col("lang"))).select("text", "lang")).mapInArrow(count, "script string, code string, word string, n bigint")
+    words = counted.groupBy("script", "code", "word").agg(F.sum("n").alias("n"))
+    # Of each language the most frequent words and, under the empty word, its number of texts; ranked by aggregation, not in one task a language.
+    texts = words.filter(f"word = '' AND n >= {LEAST_TEXTS}").select("script", "code", F.col("n").alias("texts"))
+    known = words.filter("word <> ''").join(texts, ["script", "code"]).filter(F.col("n") >= COMMON * F.col("texts"))
+    top = known.groupBy("script", "code").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "word")), asc=False), 1, LEARNED_WORDS).alias("top"))
+    return {(r["script"], r["code"]): frozenset(x["word"] for x in r["top"]) for r in top.collect()}
+
+
+_COUNTED = pa.schema([("script", pa.string()), ("code", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+
+
+def _values(batch: pa.RecordBatch, vocabulary: Vocabulary, text: int, lang: int) -> tuple[list[str | None], np.ndarray]:
+    each = [measured(t, d, vocabulary) for t, d in zip(batch.column(text).to_pylist(), batch.column(lang).to_pylist())]
+    return [x for x, _ in each], np.array([v for _, v in each], np.float64).reshape(-1, len(FEATURES))
+
+
+def text_features(source: DataFrame, vocabulary: Vocabulary = LISTED_WORDS) -> DataFrame:
+    """(language, features) of every text of (doc_id, text, lang)."""
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, values = _values(batch, vocabulary, 0, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), *(pa.array(np.ascontiguousarray(c)) for c in values.T)], names=["language", *FEATURES])
+
+    return spread(source.select("text", "lang")).mapInArrow(featured, "language string, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def robust_models(rows: DataFrame) -> dict[str, dict[str, np.ndarray]]:
@@ -280,25 +408,24 @@ def robust_models(rows: DataFrame) -> dict[str, dict[str, np.ndarray]]:
 
     Everything is aggregated over all rows; what reaches the driver is a few numbers for each language.
     """
-    tagged = rows.select(F.explode(F.array("language", F.lit("*"))).alias("language"), *FEATURES)
+    named = F.array_compact(F.array(F.col("language"), F.lit(ALL)))
+    tagged = rows.select(F.explode(named).alias("language"), *FEATURES)
     # Medians, and median deviations from them.
     middle = {r["language"]: r for r in tagged.groupBy("language").agg(F.count(F.lit(1)).alias("n"), *(F.percentile_approx(f, 0.5, 10_000).alias(f) for f in FEATURES)).collect()}
     if not middle:
         return {}
-    everything = np.array([middle["*"][f] for f in FEATURES])
-    lean = {k: r["n"] / (r["n"] + LEANING) if k != "*" else 1.0 for k, r in middle.items()}
+    everything = np.array([middle[ALL][f] for f in FEATURES])
+    lean = {k: r["n"] / (r["n"] + LEANING) if k != ALL else 1.0 for k, r in middle.items()}
     centre = {k: lean[k] * np.array([r[f] for f in FEATURES]) + (1 - lean[k]) * everything for k, r in middle.items()}
 
-    def by_language(values: dict[str, np.ndarray], i: int):
-        out = F.lit(float(values["*"][i]))
-        for k, v in values.items():
-            out = F.when(F.col("language") == k, F.lit(float(v[i]))).otherwise(out)
-        return out
+    def by_language(values: dict[str, np.ndarray], i: int) -> Column:
+        held = F.create_map(*(F.lit(x) for k, v in values.items() for x in (k, float(v[i]))))
+        return F.element_at(held, F.col("language"))
 
     off = [(F.col(f) - by_language(centre, i)) for i, f in enumerate(FEATURES)]
-    spread = {r["language"]: r for r in tagged.groupBy("language").agg(*(F.percentile_approx(F.abs(x), 0.5, 10_000).alias(f) for x, f in zip(off, FEATURES))).collect()}
-    own = {k: np.array([spread[k][f] for f in FEATURES]) for k in middle}
-    scale = {k: np.maximum(LEAST_SCALE, 1.4826 * (lean[k] * own[k] + (1 - lean[k]) * own["*"])) for k in middle}
+    aside = {r["language"]: r for r in tagged.groupBy("language").agg(*(F.percentile_approx(F.abs(x), 0.5, 10_000).alias(f) for x, f in zip(off, FEATURES))).collect()}
+    own = {k: np.array([aside[k][f] for f in FEATURES]) for k in middle}
+    scale = {k: np.maximum(LEAST_SCALE, 1.4826 * (lean[k] * own[k] + (1 - lean[k]) * own[ALL])) for k in middle}
 
     # The scatter of scores clipped on both sides.
     z = [F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), x / by_language(scale, i))) for i, x in enumerate(off)]
@@ -307,7 +434,7 @@ def robust_models(rows: DataFrame) -> dict[str, dict[str, np.ndarray]]:
     unit = np.eye(len(FEATURES))
     models = {}
     for k in middle:
-        s = lean[k] * scatter[k] + (1 - lean[k]) * scatter["*"] + 0.1 * unit
+        s = lean[k] * scatter[k] + (1 - lean[k]) * scatter[ALL] + 0.1 * unit
         d = np.sqrt(np.diag(s))
         models[k] = {"centre": centre[k], "scale": scale[k], "inverse": np.linalg.inv(s / np.outer(d, d))}
     return models
@@ -318,46 +445,54 @@ def outlying(values: np.ndarray, model: dict[str, np.ndarray]) -> tuple[np.ndarr
     z = (values - model["centre"]) / model["scale"]
     distance = np.sqrt(np.einsum("ij,jk,ik->i", z, model["inverse"], z).clip(0))
     towards = np.maximum(0.0, z * np.array(DIRECTIONS))
-    return distance, np.linalg.norm(towards, axis=1) / np.maximum(1e-12, np.linalg.norm(z, axis=1))
+    # More sentence ends than usual speak neither for spam nor against it: stuffed sentences are short.
+    against = np.minimum(0.0, z * np.array(DIRECTIONS)) * (np.array(FEATURES) != "sentences")
+    along = np.linalg.norm(towards, axis=1)
+    return distance, along / np.maximum(1e-12, np.hypot(along, np.linalg.norm(against, axis=1)))
 
 
-def flagged_texts(rows: DataFrame, models: dict[str, dict[str, np.ndarray]], cutoff: float = CUTOFF, directed: float = DIRECTED) -> DataFrame:
-    """(doc_id, distance): texts that lie far out in the directions of spam."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def judged(source: DataFrame, models: dict[str, dict[str, np.ndarray]], vocabulary: Vocabulary, cutoff: float = CUTOFF, directed: float = DIRECTED) -> DataFrame:
+    """(doc_id, distance, towards, share): every text measured again and judged; ``share`` is read of those flagged and null for others."""
+    kind = source.schema["doc_id"].dataType.simpleString()
 
-    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = np.array(batch.column(1).to_pylist(), object)
-            values = np.column_stack([batch.column(2 + i).to_numpy(zero_copy_only=False) for i in range(len(FEATURES))])
+            names, values = _values(batch, vocabulary, 1, 2)
+            langs = np.array(names, object)
             distance, towards = np.zeros(len(langs)), np.zeros(len(langs))
-            for k in set(langs):
+            for k in set(names):
                 at = np.flatnonzero(langs == k)
-                distance[at], towards[at] = outlying(values[at], models.get(k, models["*"]))
-            keep = pa.array((distance > cutoff) & (towards >= directed))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), pa.array(distance).filter(keep)], names=["doc_id", "distance"])
+                distance[at], towards[at] = outlying(values[at], models.get(k, models[ALL]))
+            flagged = (distance > cutoff) & (towards >= directed)
+            texts = batch.column(1)
+            shares = [spam_share(texts[i].as_py(), vocabulary) if f else None for i, f in enumerate(flagged)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(distance), pa.array(towards), pa.array(shares, pa.float64())], names=["doc_id", "distance", "towards", "share"])
+
+    return spread(source).mapInArrow(judge, f"doc_id {kind}, distance double, towards double, share double")
+
 
-    return rows.mapInArrow(flag, f"doc_id {kind}, distance double")
+def _judged(df: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+    source = _source(df, doc_id, text, lang)
+    vocabulary = Vocabulary(learned_words(source))
+    models = robust_models(materialise(text_features(source, vocabulary)))
+    if not models:
+        return source.select("doc_id", *(F.lit(None).cast("double").alias(c) for c in ("distance", "towards", "share")))
+    return judged(source, models, vocabulary)
 
 
-def spam_pages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", share: float = SHARE, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(doc_id, distance, share): texts more than ``share`` of whose characters are keywords, link lists or product tags.
+def spam_pages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", share: float = SHARE) -> DataFrame:
+    """(doc_id, distance, share): flagged texts more than ``share`` of whose characters are keywords, link lists or product tags.
 
     Null, empty and blank texts are no cases, nor are rows without id.  Rows repeated under one id are judged each on their own
     text and told once.
     """
-    rows = materialise(text_features(df, doc_id, text, lang))
-    models = robust_models(rows)
-    flagged = materialise(flagged_texts(rows, models) if models else rows.select("doc_id", F.lit(0.0).alias("distance")))
-    flagged = flagged.groupBy("doc_id").agg(F.max("distance").alias("distance"))
-    if flagged.count() * 32 <= broadcast_bytes:
-        flagged = F.broadcast(flagged)
-    source = spread(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).join(flagged, "doc_id").filter("text IS NOT NULL").select("doc_id", "distance", "text")
-    kind = source.schema["doc_id"].dataType.simpleString()
+    found = _judged(df, doc_id, text, lang).filter(F.col("share") > share)
+    return found.groupBy("doc_id").agg(F.max("distance").alias("distance"), F.max("share").alias("share")).withColumnRenamed("doc_id", doc_id)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shares = pa.array([spam_share(t) for t in batch.column(2).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), shares], names=["doc_id", "distance", "share"])
 
-    found = source.mapInArrow(read, f"doc_id {kind}, distance double, share double").filter(F.col("share") > share)
-    return found.groupBy("doc_id").agg(F.max("distance").alias("distance"), F.max("share").alias("share")).withColumnRenamed("doc_id", doc_id)
+def spam_steps(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", share: float = SHARE) -> DataFrame:
+    """(step, n): how many texts are judged, lie far out, lie far out in the directions of spam, and are cases."""
+    counts = _judged(df, doc_id, text, lang).agg(
+        F.count("distance").alias("judged"), F.count_if(F.col("distance") > CUTOFF).alias("outlying"), F.count("share").alias("flagged"), F.count_if(F.col("share") > share).alias("cases")
+    )
+    return counts.unpivot([], ["judged", "outlying", "flagged", "cases"], "step", "n")

@@ -1,9 +1,10 @@
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from hustings.llm.spam import measured, spam_pages, spam_share
+from hustings.llm.spam import Vocabulary, learned_words, measured, spam_pages, spam_share, spam_steps
 
 PROSE = [
     "The clerk said that the list will be posted at the town hall before the end of the week.",
@@ -75,10 +76,65 @@ def test_found_of_a_made_corpus(spark):
     rows += [(1000, None, "en"), (1001, "", "en"), (1002, " \n\t", None), (None, spam(rng, 0), "en"), (1003, "ok", None), rows[0], *[(1004, spam(rng, 1) * 200, "en")] * 2, (1005, prose(rng, 3_000), "en")]
     want.add(1004)
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("share", F.lit(1)).withColumn("distance", F.lit(1))
-    for bound in (1 << 20, -1):
-        got = [r["doc_id"] for r in spam_pages(df, broadcast_bytes=bound).collect()]
-        assert len(got) == len(set(got)) and set(got) == want
+    got = [r["doc_id"] for r in spam_pages(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
     assert spam_pages(df.limit(0)).collect() == []
+    steps = {r["step"]: r["n"] for r in spam_steps(df).collect()}
+    # A tenth of this corpus is prose with a few tags and a fifth lists, so the distance has much to flag.
+    assert 0.3 * steps["judged"] > steps["flagged"] >= steps["cases"] == len(want) + 1 and steps["outlying"] >= steps["flagged"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_the_distance_decides(spark):
+    """On whole documents the reading drops fewer than half of what the distance and its direction flag."""
+    steps = {r["step"]: r["n"] for r in spam_steps(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    assert steps["judged"] > steps["outlying"] >= steps["flagged"] >= steps["cases"] > steps["flagged"] / 2
+
+
+def test_no_text_is_joined_or_shuffled(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, spam(rng, i % 7) if i % 9 == 0 else prose(rng, 8), "en") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(8).write.parquet(str(tmp_path / "d"))
+    plan = spam_pages(spark.read.parquet(str(tmp_path / "d")))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and not [line for line in plan.splitlines() if "Exchange" in line and "text" in line]
+
+
+UNLISTED = {
+    "de": "Die Stadt hat am Montag mitgeteilt, dass die Liste der Bewerber im Rathaus ausgehängt wird. Wer sich nicht eintragen lässt, kann im Herbst nicht wählen. Der Bürgermeister sprach lange über den Haushalt und die Schulen. Am Ende des Abends blieben viele Fragen offen.",
+    "tr": "Belediye başkanı dün akşam halka seslendi ve yeni köprünün ne zaman biteceğini anlattı. Seçim listesi hafta sonuna kadar belediye binasında asılı kalacak. Birçok kişi toplantıya geç geldi çünkü yollar karla kaplıydı.",
+    "ko": "시장은 어제 저녁 주민들에게 새 다리가 언제 완공되는지 설명했다. 선거 명부는 주말까지 시청에 게시될 것이다. 많은 사람들이 눈 때문에 회의에 늦게 도착했다. 이웃은 왜 학교가 문을 닫았는지 물었지만 아무도 대답하지 않았다.",
+    "pl": "Burmistrz powiedział wczoraj, że lista kandydatów zostanie wywieszona w ratuszu przed końcem tygodnia. Wielu mieszkańców przyszło na spotkanie mimo śniegu. Nikt nie wiedział, dlaczego most nadal jest zamknięty.",
+    "fi": "Kaupunginjohtaja kertoi eilen, että ehdokasluettelo pannaan esille kaupungintalolle ennen viikon loppua. Moni asukas saapui kokoukseen lumesta huolimatta. Kukaan ei tiennyt, miksi silta on yhä suljettu.",
+    "ja": "市長は昨日、候補者の名簿が週末までに市役所に掲示されると述べた。雪にもかかわらず多くの住民が会合に来た。橋がまだ閉鎖されている理由は誰も知らなかった。",
+}
+
+
+@pytest.mark.parametrize("lang", UNLISTED)
+def test_prose_of_unlisted_languages(lang):
+    text = UNLISTED[lang]
+    ends = "。" if lang == "ja" else "."
+    sentences = [s.strip() + ends for s in text.split(ends) if s.strip()]
+    rng = random.Random(1)
+    assert spam_share(text) < 0.1
+    assert spam_share(" ".join(rng.choice(sentences) for _ in range(30))) < 0.1
+    assert measured(text, "xx")[0] is None
+
+
+def test_words_of_unlisted_languages_come_from_the_corpus(spark):
+    rng = random.Random(8)
+    sentences = UNLISTED["de"].split(". ")
+    rows = [(i, ". ".join(rng.sample(sentences, 3)), rng.choice(["de", "DE-at"])) for i in range(60)] + [(100 + i, prose(rng, 4), rng.choice(["de", "en"])) for i in range(60)]
+    words = learned_words(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert set(words) == {("latin", "de")} and {"die", "der", "im", "und"} <= words["latin", "de"] and "the" not in words["latin", "de"]
+    assert measured(UNLISTED["de"], None, Vocabulary(words))[0] == "de"
+
+
+def test_nothing_is_cut_by_length():
+    anchor = "cheap yard signs and custom banners of the shop " * 4
+    assert spam_share("\n".join(f"[{anchor}{i}](https://shop7.example/{i})" for i in range(6))) > 0.8
+    assert spam_share("\n".join(f'<a href="https://shop7.example/{i}" title="{anchor}">{anchor}</a>' for i in range(6))) > 0.8
+    for ch in "[<#\t\"":
+        assert 0 <= spam_share(ch * 50_000) <= 1 and all(0 <= x <= 1 for x in measured(ch * 50_000)[1])
 
 
 @pytest.mark.parametrize("kind", range(5))
@@ -134,7 +190,7 @@ def test_share_follows_the_mixture():
 
 
 def test_languages_and_features():
-    for text, declared, language in [("这是 一个 的 了 选举", None, "zh"), ("Це виборці округу та ради", "en", "uk"), (FRENCH[0], "en", "fr"), ("xyz", "fr-CA", "fr"), ("", None, "en")]:
+    for text, declared, language in [("这是 一个 的 了 选举", None, "zh"), ("Це виборці округу та ради", "en", "uk"), (FRENCH[0], "en", "fr"), ("xyz", "fr-CA", "fr"), ("", None, None), (UNLISTED["de"], "de", None)]:
         assert measured(text, declared)[0] == language
     for text in ("", " ", "a", "https://a.example/b", "的" * 50, "#a #b", "\u0000"):
         assert all(0 <= x <= 1 for x in measured(text)[1]) and 0 <= spam_share(text) <= 1
