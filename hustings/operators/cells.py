@@ -1,28 +1,31 @@
 """Several values packed in one cell: one row per value, position kept.
 
 Method: *delimiter skeletons*.  Every cell is cut into tokens by one regular
-expression; ordinary characters are masked, so that what remains is the
-skeleton of delimiters, quotes, blanks and address starts.  The splitting rule
-is resolved once per distinct skeleton (not per row), as spans of token
-positions.  The rules are joined back - broadcast while their measured size is
-under a bound, shuffled beyond it - and the values are cut out by position with
-built-in array expressions, so no Python runs per cell.
+expression: values, and the separators between them, a run of which counts as
+one of the strongest kind in it.  Ordinary characters are masked, so that what
+remains is the skeleton of separators.  The splitting rule is resolved once per
+distinct skeleton (not per row).  The rules are joined back - broadcast while
+their measured size is under a bound, shuffled beyond it - and the values are
+cut out by position with built-in array expressions, so no Python runs per cell.
 
 Two kinds of cell are known:
 
 ``list``
-    A list of labels.  Where the number of values is given, the separators are
-    chosen that give this number, stronger ones first; else every separator
-    separates.
+    A list of labels.  Where the number of values is given, kinds of separators
+    are left out so that this number comes out: as few kinds as can be, the
+    weakest first; else, and where no choice gives it, every separator
+    separates.  Which kinds a rule leaves out depends only on how often each
+    kind stands in the cell, so skeletons are kinds and, where the number has to
+    be met, their counts: runs of value and separator are collapsed.
 ``source``
     Addresses and citations.  A separator separates if a blank, a line end or
-    a new address follows, or if the value before it isn't an address.
+    a new address follows, or if the value before it isn't an address.  A blank
+    before a new address separates too, with or without the word ``and``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations, islice
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,8 +35,6 @@ from hustings.session import materialise
 
 #: Separators of lists, strongest first, and of sources.
 LIST_SEPARATORS = "\n\t;；|•·,，/"
-#: So many sets of separator kinds are tried to be left out: all of them for up to 16 kinds.
-TRIALS = 1 << 16
 SOURCE_SEPARATORS = "\n\t;；|,，"
 #: A word that says where a place lies; after a comma it often belongs to the name before it.
 DIRECTIONS = ("north", "south", "east", "west", "centre", "center", "nord", "sud", "est", "ouest")
@@ -45,23 +46,26 @@ _ADDRESS = r"(?:https?://|www\.)"
 _TRIM = rf"^[{_BLANK}\n\t]+|[{_BLANK}\n\t]+$"
 
 
-def _token_pattern(kind: str) -> str:
-    separators = "".join("\\" + c if c in "|/[]\\" else c for c in (LIST_SEPARATORS if kind == "list" else SOURCE_SEPARATORS))
-    special = separators + '"“”' + _BLANK
-    # Words parted by single blanks are one token, which keeps the skeletons few.
-    if kind == "list":
-        return rf"[{separators}\"“”]|[{_BLANK}]+|[^{special}]+(?: [^{special}]+)*"
-    word = rf"[^{special}]+(?: (?!and |{_ADDRESS})[^{special}]+)*"
-    # An address start is a token of its own only where one can start: at the cell's start or after a special character.
-    return rf"(?<![^{special}]){_ADDRESS}|[{separators}\"“”]|[{_BLANK}]+|{word}"
-
-
-def _token_class(token: Column, kind: str) -> Column:
-    first = F.substring(token, 1, 1)
-    mask = F.when(F.trim(F.lower(token)).isin(*DIRECTIONS), "d").otherwise("a")
+def _parts(kind: str) -> dict[str, str]:
+    """The pieces of the token pattern: separators, quoted values, separator runs and values."""
+    s = "".join("\\" + c if c in "|/" else c for c in (LIST_SEPARATORS if kind == "list" else SOURCE_SEPARATORS))
+    b = _BLANK
+    opening = rf"[\"“]?{_ADDRESS}"
+    ends = rf"[{s}]|$" if kind == "list" else rf"[{s}]|$|(?:and[{b}]+)?{_ADDRESS}"
+    # Quotes protect what stands in them if they open where a value can start and close before its end.
+    quoted = rf"(?:\"(?:[^\"]|\"\")*+\"|“[^”]*+”)(?=[{b}]*(?:{ends}))"
+    run = rf"[{b}]*[{s}](?:[{b}]*[{s}])*[{b}]*"
+    go_on = rf"(?!{quoted})"
     if kind == "source":
-        mask = F.when(token.rlike(f"^{_ADDRESS}$"), "U").when(token == "and", "&").otherwise("a")
-    return F.when(first.rlike(rf"[{_BLANK}]"), "_").when(first.rlike(r'[\n\t;；|•·,，/"“”]') & (F.length(token) == 1), first).otherwise(mask)
+        run = rf"{run}(?:and[{b}]+(?={opening}))?|[{b}]+(?:and[{b}]+)?(?={opening})"
+        go_on = rf"(?!{opening}|and[{b}]+{opening}|{quoted})"
+    value = rf"[^{s}{b}]+(?:[{b}]++{go_on}[^{s}{b}]+)*+"
+    return {"run": run, "quoted": rf"(?<=^|[{s}{b}]){quoted}", "value": value, "any": s}
+
+
+def _token_pattern(kind: str) -> str:
+    p = _parts(kind)
+    return rf"{p['quoted']}|{p['run']}|{p['value']}|[{_BLANK}]+"
 
 
 def tokens(cell: Column, kind: str) -> Column:
@@ -69,140 +73,102 @@ def tokens(cell: Column, kind: str) -> Column:
     return F.regexp_extract_all(cell, F.lit(_token_pattern(kind)), F.lit(0))
 
 
-def skeleton(token_array: Column, kind: str) -> Column:
-    """One character a token, ordinary characters masked."""
-    return F.array_join(F.transform(token_array, lambda t: _token_class(t, kind)), "")
-
-
-def _protected(s: str) -> list[bool]:
-    """Which tokens of a skeleton stand inside (or are) quotes that open at a value's start and close before its end."""
-    out, i, start = [False] * len(s), 0, True
-    while i < len(s):
-        close = {'"': '"', "“": "”"}.get(s[i]) if start else None
-        if close:
-            j = i + 1
-            while j < len(s):
-                if s[j] == close:
-                    if close == '"' and s[j + 1 : j + 2] == '"':
-                        j += 2
-                        continue
-                    break
-                j += 1
-            rest = s[j + 1 :].lstrip("_")[:1]
-            if j < len(s) and (not rest or rest in "\n\t;；|•·,，/U&"):
-                out[i : j + 1] = [True] * (j + 1 - i)
-                i, start = j + 1, False
-                continue
-        start = s[i] in "\n\t;；|•·,，/" or (start and s[i] == "_") or (s[i] == "_" and s[i + 1 : i + 2] in ('"', "“"))
-        i += 1
-    return out
-
-
-def _spans(s: str, cuts: list[int]) -> list[tuple[int, int]]:
-    """Spans (first token, number of tokens) between the cut tokens, those with neither word nor quote left out."""
-    out, a = [], 0
-    for b in [*cuts, len(s)]:
-        part = s[a:b]
-        quoted = part.strip("_")
-        if part.strip("_\n\t") and quoted not in ('""', "“”"):
-            out.append((a, b - a))
-        a = b + 1
-    return out
-
-
-def resolve_list(s: str, count: int | None) -> list[tuple[int, int]]:
-    """The rule of a list's skeleton."""
-    guarded = _protected(s)
-    kinds: dict[tuple, list[int]] = {}
-    for i, c in enumerate(s):
-        if c in LIST_SEPARATORS and not guarded[i]:
-            after = s[i + 1 : i + 2]
-            spaced = after == "_"
-            direction = (s[i + 1 :].lstrip("_") + " ")[0] == "d"
-            # Strength: a direction after a comma and a slash without blanks are the weakest.
-            weak = 2 * (direction and c in ",，") + 2 * (c == "/" and not spaced)
-            kinds.setdefault((weak, LIST_SEPARATORS.index(c), spaced), []).append(i)
-    cuts = sorted(i for at in kinds.values() for i in at)
-    everything = _spans(s, cuts)
-    if count is None or count < 1 or len(everything) == count or not kinds:
-        return everything
-    order = sorted(kinds)  # the strongest first
-    # Fewest and weakest kinds left out first.  A cut left out takes at most one value away, so too few of them needn't be tried.
-    sizes, excess = [len(kinds[kind]) for kind in order], len(everything) - count
-
-    def without(left) -> list[tuple[int, int]]:
-        return _spans(s, sorted(i for n, kind in enumerate(order) if n not in left for i in kinds[kind]))
-
-    sets = (left for k in range(1, len(order) + 1) if sum(sorted(sizes)[-k:]) >= excess for left in combinations(range(len(order) - 1, -1, -1), k))
-    for left in islice(sets, TRIALS):
-        if sum(sizes[n] for n in left) >= excess and len(spans := without(left)) == count:
-            return spans
-    if 2 ** len(order) > TRIALS:
-        # What is beyond the trials is tried by strength alone.
-        for k in range(1, len(order) + 1):
-            if len(spans := without(range(len(order) - k, len(order)))) == count:
-                return spans
-    return everything
-
-
-def resolve_source(s: str) -> list[tuple[int, int]]:
-    """The rule of a source cell's skeleton."""
-    guarded, cuts, ends, start = _protected(s), [], [], 0
-    drop: dict[int, int] = {}
-
-    def address_at(i: int) -> bool:
-        rest = s[i:].lstrip("_")
-        return rest[:1] == "U" or rest[:1] in ('"', "“") and rest[1:2] == "U"
-
-    def value_is_address(a: int, b: int) -> bool:
-        return s[a:b].lstrip('_"“\n\t')[:1] == "U"
-
-    i = 0
-    while i < len(s):
-        c = s[i]
-        if guarded[i]:
-            i += 1
-            continue
-        if c in "\n\t":
+def _separates(token: Column, kind: str) -> Column:
+    """Whether a token is a run of separators; a quoted value isn't, nor are blanks alone."""
+    return token.rlike(rf"^[{_BLANK}]*[{_parts(kind)['any']}]")
+
+
+def _list_kind(token: Column, after: Column) -> Column:
+    """A separator's kind; kinds sort from the strongest to the weakest.
+
+    A direction after a comma and a slash without blanks are the weakest.
+    """
+    spaced = F.lit(_BLANK).contains(F.substring(token, -1, 1))
+    place = F.lit(len(LIST_SEPARATORS))
+    for i, c in reversed(list(enumerate(LIST_SEPARATORS))):
+        place = F.when(token.contains(c), F.lit(i)).otherwise(place)
+    commas = tuple(LIST_SEPARATORS.index(c) for c in ",，")
+    slash = LIST_SEPARATORS.index("/")
+    weak = F.when(place.isin(*commas) & F.lower(after).isin(*DIRECTIONS), "2").when((place == slash) & ~spaced, "2").otherwise("0")
+    return F.concat(weak, F.substring(F.lit("abcdefghijklmnop"), place + 1, F.lit(1)), F.when(spaced, "1").otherwise("0"))
+
+
+def _source_mask(token: Column, after: Column) -> Column:
+    """One character a token: U an address, a another value, s a separator that is sure to separate, t one that may belong to an address."""
+    address = rf'^["“]?{_ADDRESS}'
+    follows = F.coalesce(after.rlike(address), F.lit(False))
+    sure = token.rlike(rf"[\n\t]|[{_BLANK}]$") | follows | after.isNull()
+    gap = token.rlike(rf"^[{_BLANK}]") & follows
+    return F.when(_separates(token, "source"), F.when(sure, "s").otherwise("t")).when(gap, "s").when(token.rlike(address), "U").otherwise("a")
+
+
+def resolve_list(skeleton: str, excess: int) -> list[str]:
+    """The kinds of separators to leave out so that ``excess`` values fewer come out: as few kinds as can be, the weakest first.
+
+    ``skeleton``: the kinds with their counts, such as ``0c1*3 2h1*2``.  Exact for any number of kinds; nothing if no choice fits.
+    """
+    if not excess:
+        return []
+    kinds = sorted(((k, int(n)) for k, n in (x.split("*") for x in skeleton.split(" ") if "*" in x)), reverse=True)
+    # The best choice among the kinds from each on, for every number of values left out; the strongest kinds come in first.
+    best: dict[int, tuple[str, ...]] = {0: ()}
+    for k, n in reversed(kinds):
+        with_it = {left + n: (k, *chosen) for left, chosen in best.items() if left + n <= excess}
+        for left, chosen in with_it.items():
+            if left not in best or len(chosen) <= len(best[left]):
+                best[left] = chosen
+    return list(best.get(excess, ()))
+
+
+def resolve_source(skeleton: str) -> list[int]:
+    """The places, from 1, of the separators that separate."""
+    cuts, head = [], ""
+    for i, c in enumerate(skeleton, 1):
+        if c == "s" or c == "t" and head != "U":
             cuts.append(i)
-            start = i + 1
-        elif c in SOURCE_SEPARATORS:
-            after = s[i + 1 : i + 2]
-            if after in ("", "_", "\n", "\t") or address_at(i + 1) or not value_is_address(start, i):
-                cuts.append(i)
-                start = i + 1
-        elif c == "_" and i > start and s[start:i].strip("_"):
-            if address_at(i + 1):
-                cuts.append(i)
-                start = i + 1
-            elif s[i + 1 : i + 3] == "&_" and address_at(i + 3):
-                cuts += [i, i + 2]
-                drop[i + 1] = 1  # the word itself belongs to no value
-                start = i + 3
-                i += 2
-        i += 1
-    ends = _spans(s, cuts)
-    return [x for x in ends if not (x[1] == 1 and x[0] in drop)]
+            head = ""
+        elif not head:
+            head = c
+    return cuts
 
 
 def _resolved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        spans = []
-        for kind, s, n in zip(pdf["kind"], pdf["skeleton"], pdf["n"]):
-            rule = resolve_list(s, None if pd.isna(n) or n < 0 else int(n)) if kind == "list" else resolve_source(s)
-            spans.append([{"a": a + 1, "k": k} for a, k in rule])
-        yield pd.DataFrame({"kind": pdf["kind"], "skeleton": pdf["skeleton"], "n": pdf["n"], "spans": spans})
+        lists = pdf["kind"] == "list"
+        pdf["left_out"] = [resolve_list(s, int(n)) if known else [] for known, s, n in zip(lists, pdf["skeleton"], pdf["excess"])]
+        pdf["cuts"] = [[] if known else resolve_source(s) for known, s in zip(lists, pdf["skeleton"])]
+        yield pdf[["kind", "skeleton", "excess", "left_out", "cuts"]]
 
 
 def split_rules(skeletons: DataFrame) -> DataFrame:
-    """The rule of each distinct (kind, skeleton, n): spans of token positions, counted from 1."""
-    return skeletons.mapInPandas(_resolved, "kind string, skeleton string, n int, spans array<struct<a:int,k:int>>")
+    """The rule of each distinct (kind, skeleton, excess): kinds of separators left out, or the places of those that separate."""
+    return skeletons.mapInPandas(_resolved, "kind string, skeleton string, excess int, left_out array<string>, cuts array<int>")
+
+
+def skeletons(df: DataFrame, kind: str) -> DataFrame:
+    """(row_id, cell, n) with ``tokens``, ``marks`` (a separator's kind, or null), ``skeleton`` and ``excess``; null where nothing separates."""
+    p = _parts(kind)
+    opening = rf"[{_BLANK}][\"“]?{_ADDRESS}"
+    # A separator at the end of a cell belongs to no value.
+    bare = F.regexp_replace("cell", rf"^[{p['any']}{_BLANK}]+|[{p['any']}{_BLANK}]+$", "")
+    several = bare.rlike(rf"[{p['any']}]" if kind == "list" else rf"[{p['any']}]|{opening}")
+    out = df.withColumn("bare", bare).withColumn("tokens", F.when(several & F.col("json").isNull(), tokens(bare, kind)))
+    after = lambda i: F.get("tokens", i + 1)
+    if kind == "source":
+        marks = F.transform("tokens", lambda t, i: _source_mask(t, after(i)))
+        return out.withColumn("marks", marks).withColumn("skeleton", F.array_join("marks", "")).withColumn("excess", F.lit(0))
+    out = out.withColumn("marks", F.transform("tokens", lambda t, i: F.when(_separates(t, kind), _list_kind(t, after(i)))))
+    out = out.withColumn("kinds", F.array_compact("marks"))
+    values = F.size("kinds") + 1 - F.size(F.filter("tokens", lambda t: t.isin('""', "“”")))
+    out = out.withColumn("excess", F.when(F.col("n") >= 1, F.greatest(F.lit(0), values - F.col("n"))).otherwise(0))
+    counted = F.transform(F.array_sort(F.array_distinct("kinds")), lambda k: F.when(F.col("excess") > 0, F.concat(k, F.lit("*"), F.size(F.filter("kinds", lambda x: x == k)).cast("string"))).otherwise(k))
+    return out.withColumn("skeleton", F.array_join(counted, " ")).drop("kinds")
 
 
 def _unquoted(v: Column) -> Column:
     v = F.regexp_replace(v, _TRIM, "")
-    plain = v.rlike(r'(?s)^".*"$') & (F.length(v) >= 2)
-    curly = v.rlike("(?s)^“.*”$")
+    plain = v.rlike(r'^"(?:[^"]|"")*+"$')
+    curly = v.rlike("^“[^”]*+”$")
     inner = F.substring(v, F.lit(2), F.length(v) - 2)
     done = F.when(plain, F.replace(inner, F.lit('""'), F.lit('"'))).when(curly, inner).otherwise(v)
     return F.regexp_replace(done, _TRIM, "")
@@ -222,15 +188,19 @@ def split_cells(df: DataFrame, row_id: str, cell: str, kind: str, count: str | N
         df.select(F.col(row_id).alias("row_id"), F.col(cell).alias("cell"), n.alias("n"))
         .filter(F.regexp_replace("cell", _TRIM, "") != "")
         .withColumn("json", F.when(F.col("cell").rlike(r'(?s)^\s*\[\s*(".*")?\s*\]\s*$'), F.from_json("cell", "array<string>", {"mode": "PERMISSIVE"})))
-        .withColumn("tokens", F.when(F.col("json").isNull(), tokens(F.col("cell"), kind)))
-        .withColumn("skeleton", skeleton(F.col("tokens"), kind))
     )
-    distinct = cells.filter("skeleton IS NOT NULL").select(F.lit(kind).alias("kind"), "skeleton", "n").distinct()
-    rules = materialise(split_rules(distinct)).select(F.col("skeleton").alias("rule_skeleton"), F.col("n").alias("rule_n"), "spans")
-    size = rules.agg(F.sum(F.length("rule_skeleton") * 4 + F.size("spans") * 16 + 64)).first()[0] or 0
+    cells = skeletons(cells, kind)
+    distinct = cells.filter("skeleton IS NOT NULL").select(F.lit(kind).alias("kind"), "skeleton", "excess").distinct()
+    rules = materialise(split_rules(distinct)).select(F.col("skeleton").alias("rule_skeleton"), F.col("excess").alias("rule_excess"), "left_out", "cuts")
+    size = rules.agg(F.sum(F.length("rule_skeleton") * 4 + F.size("left_out") * 16 + F.size("cuts") * 8 + 96)).first()[0] or 0
     rules = F.broadcast(rules) if size <= broadcast_bytes else rules
-    ruled = cells.join(rules, (F.col("skeleton") == F.col("rule_skeleton")) & (F.col("n") == F.col("rule_n")), "left")
-    by_position = F.transform("spans", lambda s: _unquoted(F.array_join(F.slice("tokens", s["a"], s["k"]), "")))
+    ruled = cells.join(rules, (F.col("skeleton") == F.col("rule_skeleton")) & (F.col("excess") == F.col("rule_excess")), "left")
+    places = F.sequence(F.lit(1), F.size("tokens"))
+    chosen = F.col("cuts") if kind == "source" else F.filter(places, lambda i: F.get("marks", i - 1).isNotNull() & ~F.array_contains("left_out", F.get("marks", i - 1)))
+    ruled = ruled.withColumn("at", F.concat(F.array(F.lit(0)), chosen, F.array(F.size("tokens") + 1)))
+    spans = F.zip_with(F.slice("at", 1, F.size("at") - 1), F.slice("at", 2, F.size("at") - 1), lambda a, b: F.array_join(F.slice("tokens", a + 1, b - a - 1), ""))
+    split = F.when(F.col("tokens").isNull(), F.array("bare")).otherwise(spans)
+    by_position = F.transform(F.when(F.col("json").isNull(), split), lambda v: _unquoted(v))
     values = F.filter(F.coalesce(F.transform("json", lambda v: F.regexp_replace(F.coalesce(v, F.lit("")), _TRIM, "")), by_position), lambda v: v != "")
     return (
         ruled.select("row_id", values.alias("values"))
