@@ -10,9 +10,10 @@ them.  An exact check follows: of the flagged texts those are cases more than
 half of whose characters stand in repeated or strung-together keywords, lists of
 links or product tags.  ``spam_steps`` tells how many texts each step leaves.
 
-No text is ever shuffled, joined or kept.  One scan takes the frequent short
-words of languages without a fixed list, one the features, which are aggregated
-to a small model per language, and one measures again, flags and reads.
+No text is ever shuffled or joined.  One scan takes the frequent short words of
+languages without a fixed list, one the features, which are kept in the shared
+folder beside the packed text and aggregated to a small model per language; then
+the texts that are flagged by their features are unpacked and read.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import math
 import re
 import sys
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
@@ -387,20 +389,22 @@ def learned_words(source: DataFrame) -> dict[tuple[str, str], frozenset[str]]:
 _COUNTED = pa.schema([("script", pa.string()), ("code", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
 
-def _values(batch: pa.RecordBatch, vocabulary: Vocabulary, text: int, lang: int) -> tuple[list[str | None], np.ndarray]:
-    each = [measured(t, d, vocabulary) for t, d in zip(batch.column(text).to_pylist(), batch.column(lang).to_pylist())]
-    return [x for x, _ in each], np.array([v for _, v in each], np.float64).reshape(-1, len(FEATURES))
-
-
 def text_features(source: DataFrame, vocabulary: Vocabulary = LISTED_WORDS) -> DataFrame:
-    """(language, features) of every text of (doc_id, text, lang)."""
+    """(doc_id, packed, language, features) of every text of (doc_id, text, lang); ``packed`` is the text compressed.
+
+    Packing costs a few percent of what measuring does, so a text is measured once and read from there.
+    """
+    kind = source.schema["doc_id"].dataType.simpleString()
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, values = _values(batch, vocabulary, 0, 1)
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), *(pa.array(np.ascontiguousarray(c)) for c in values.T)], names=["language", *FEATURES])
+            texts = batch.column(1).to_pylist()
+            each = [measured(t, d, vocabulary) for t, d in zip(texts, batch.column(2).to_pylist())]
+            values = np.array([v for _, v in each], np.float64).reshape(-1, len(FEATURES))
+            packed = pa.array([zlib.compress(t.encode(), 1) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, pa.array([x for x, _ in each], pa.string()), *(pa.array(np.ascontiguousarray(c)) for c in values.T)], names=["doc_id", "packed", "language", *FEATURES])
 
-    return spread(source.select("text", "lang")).mapInArrow(featured, "language string, " + ", ".join(f"{f} double" for f in FEATURES))
+    return spread(source.select("doc_id", "text", "lang")).mapInArrow(featured, f"doc_id {kind}, packed binary, language string, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def robust_models(rows: DataFrame) -> dict[str, dict[str, np.ndarray]]:
@@ -451,33 +455,33 @@ def outlying(values: np.ndarray, model: dict[str, np.ndarray]) -> tuple[np.ndarr
     return distance, along / np.maximum(1e-12, np.hypot(along, np.linalg.norm(against, axis=1)))
 
 
-def judged(source: DataFrame, models: dict[str, dict[str, np.ndarray]], vocabulary: Vocabulary, cutoff: float = CUTOFF, directed: float = DIRECTED) -> DataFrame:
-    """(doc_id, distance, towards, share): every text measured again and judged; ``share`` is read of those flagged and null for others."""
-    kind = source.schema["doc_id"].dataType.simpleString()
+def judged(rows: DataFrame, models: dict[str, dict[str, np.ndarray]], vocabulary: Vocabulary, cutoff: float = CUTOFF, directed: float = DIRECTED) -> DataFrame:
+    """(doc_id, distance, towards, share): every text judged by its features; ``share`` is read of those flagged and null for others."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, values = _values(batch, vocabulary, 1, 2)
-            langs = np.array(names, object)
+            names = batch.column(2).to_pylist()
+            langs, values = np.array(names, object), np.column_stack([batch.column(3 + i).to_numpy(zero_copy_only=False) for i in range(len(FEATURES))])
             distance, towards = np.zeros(len(langs)), np.zeros(len(langs))
             for k in set(names):
                 at = np.flatnonzero(langs == k)
                 distance[at], towards[at] = outlying(values[at], models.get(k, models[ALL]))
-            flagged = (distance > cutoff) & (towards >= directed)
-            texts = batch.column(1)
-            shares = [spam_share(texts[i].as_py(), vocabulary) if f else None for i, f in enumerate(flagged)]
+            flagged, packed = (distance > cutoff) & (towards >= directed), batch.column(1)
+            shares = [spam_share(zlib.decompress(packed[i].as_py()).decode(), vocabulary) if f else None for i, f in enumerate(flagged)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(distance), pa.array(towards), pa.array(shares, pa.float64())], names=["doc_id", "distance", "towards", "share"])
 
-    return spread(source).mapInArrow(judge, f"doc_id {kind}, distance double, towards double, share double")
+    return rows.select("doc_id", "packed", "language", *FEATURES).mapInArrow(judge, f"doc_id {kind}, distance double, towards double, share double")
 
 
 def _judged(df: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     source = _source(df, doc_id, text, lang)
     vocabulary = Vocabulary(learned_words(source))
-    models = robust_models(materialise(text_features(source, vocabulary)))
+    rows = materialise(text_features(source, vocabulary))
+    models = robust_models(rows)
     if not models:
-        return source.select("doc_id", *(F.lit(None).cast("double").alias(c) for c in ("distance", "towards", "share")))
-    return judged(source, models, vocabulary)
+        return rows.select("doc_id", *(F.lit(None).cast("double").alias(c) for c in ("distance", "towards", "share")))
+    return judged(rows, models, vocabulary)
 
 
 def spam_pages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", share: float = SHARE) -> DataFrame:
