@@ -16,14 +16,15 @@ from hustings.operators.constraints import Rule, enforce
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path in its terms."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
 def replace_path(spark: SparkSession, scratch: str, path: str) -> None:
     """Puts what was written to ``scratch`` in the place of ``path``; what was there is removed only after it has been set aside."""
-    fs, target = _fs(spark, path)
+    fs, target = file_system(spark, path)
     source, aside = spark._jvm.org.apache.hadoop.fs.Path(scratch), spark._jvm.org.apache.hadoop.fs.Path(f"{path}.aside-{uuid.uuid4().hex}")
     fs.mkdirs(target.getParent())
     had = fs.exists(target)
@@ -45,7 +46,7 @@ def _scratch(path: str) -> str:
 def write_text(spark: SparkSession, text: str, path: str) -> None:
     """A small text as one UTF-8 file."""
     scratch = _scratch(path)
-    fs, jpath = _fs(spark, scratch)
+    fs, jpath = file_system(spark, scratch)
     stream = fs.create(jpath, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
@@ -54,6 +55,18 @@ def write_text(spark: SparkSession, text: str, path: str) -> None:
     replace_path(spark, scratch, path)
 
 
+def read_text_file(spark: SparkSession, path: str) -> str | None:
+    """A small UTF-8 file, or None if there is none."""
+    fs, jpath = file_system(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     scratch = _scratch(path)
     df.write.partitionBy(*partition_by).parquet(scratch)

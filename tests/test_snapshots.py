@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from hustings.operators.snapshots import changed_values, snapshot_changes
+from hustings.operators.snapshots import changed_values, served_index, snapshot_changes
 
 SCHEMA = "entry_id bigint, build_no int, census_id string, ward string, mayor array<string>, coun_ward array<string>, coun_reg array<string>, received_at timestamp"
 T = dt.datetime(2026, 8, 1)
@@ -42,3 +42,38 @@ def test_ties_one_build_and_nothing(spark):
     assert snapshot_changes(df).collect() == []
     assert snapshot_changes(df.filter("build_no = 1")).collect() == []
     assert snapshot_changes(df.limit(0)).collect() == []
+
+
+def test_a_later_run_indexes_only_what_is_new(spark, tmp_path):
+    path = str(tmp_path / "index")
+    rows = [(10 * b + i, b, "c", f"W {i}", ["a"], [f"x{b if i == b else 0}"], None, T) for b in (1, 2, 3) for i in range(1, 5) if i != b + 1]
+    df = spark.createDataFrame(rows, SCHEMA)
+    tables = len(spark.catalog.listTables())
+    first = {tuple(r) for r in snapshot_changes(df.filter("build_no < 3"), path).collect()}
+    read = []
+    index = served_index(spark, path)
+    assert index.last == 2
+    written, index._write = index._write, lambda part: (read.append(part.select("snapshot").distinct().collect()), written(part))[1]
+    second = {tuple(r)[:4] for r in index.load(df).collect()}
+    assert [[r[0] for r in x] for x in read] == [[3]]
+    assert first | second == {tuple(r) for r in snapshot_changes(df).collect()}
+    # Only the last index is kept, in one folder; the catalog holds no table.
+    assert len(list((tmp_path / "index").glob("load-*/snapshot=*"))) == 1 and index.last == 3
+    assert len(spark.catalog.listTables()) == tables
+    assert index.load(df).collect() == []
+    again = served_index(spark, path)
+    assert (again.last, again.buckets) == (3, 1)
+
+
+def test_the_probe_shuffles_nothing(spark, tmp_path):
+    rows = [(10 * b + i, b, "c", f"W {i}", ["a"], [f"x{b}"], None, T) for b in (1, 2) for i in range(50)]
+    index = served_index(spark, str(tmp_path / "index"), buckets=4)
+    plans, probe = [], index._probe
+    index._probe = lambda *a: plans.append(probe(*a)) or plans[-1]
+    assert index.load(spark.createDataFrame(rows, SCHEMA)).count() == 50
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plans[0].select("change_kind")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Join" in plan
