@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +14,16 @@ PARTICLES = ("da", "de", "del", "della", "der", "di", "dos", "du", "la", "le", "
 PUNCTUATION = " -,.'’()"
 # A given name must be this common, and a surname this many times commoner, to decide on a middle name.
 GIVEN_RARE, GIVEN_UNCOMMON, SURNAME_TIMES = 1000, 300, 6
+# The formats a list of names is published in, the tail that tells pronouns, the word for a withdrawn nomination, and an initial.
+FORMATS = ("first_last", "last_first", "caps_surname", "pre_split")
+PRONOUN_TAIL = r"(?iU),\s*(she|he|they|ze)/\w+\s*$"
+WITHDRAWN = "(?i)withdraw"
+INITIAL = r"^[A-Za-zÀ-ÿ]\.?(?:[A-Za-zÀ-ÿ]\.)*$"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it stands there; without this, expressions grow by every use of a use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def norm(c: Column) -> Column:
@@ -23,74 +36,179 @@ def is_suffix(token: Column) -> Column:
 
 
 def without_pronouns(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?iU),\s*(she|he|they|ze)/\w+\s*$", "")
+    return F.regexp_replace(c, PRONOUN_TAIL, "")
 
 
 def is_withdrawn(c: Column) -> Column:
-    return c.rlike("(?i)withdraw")
+    return c.rlike(WITHDRAWN)
+
+
+def _name(last: Column, first: Column) -> Column:
+    return F.struct(F.trim(last).alias("last"), F.trim(first).alias("first"))
+
+
+def _words(tokens: Column, start, n) -> Column:
+    """``n`` tokens from a place on, joined by blanks; none if ``n`` is below 1."""
+    return F.array_join(F.slice(tokens, F.greatest(F.lit(1), F.lit(start) if isinstance(start, int) else start), F.greatest(F.lit(0), F.lit(n) if isinstance(n, int) else n)), " ")
 
 
 def split_last_first(c: Column) -> Column:
-    """(last, first) of ``Last, First``; a suffix with a comma of its own stays with the surname; without a comma all is surname."""
-    parts = F.transform(F.split(c, ","), lambda p: F.trim(p))
-    suffixed = (F.size(parts) >= 3) & is_suffix(F.get(parts, F.lit(1)))
-    rest = lambda n: F.trim(F.array_join(F.filter(F.slice(parts, n + 1, F.greatest(F.size(parts) - n, F.lit(0))), lambda p: p != ""), ", "))
-    last = F.when(suffixed, F.concat(parts[0], F.lit(", "), F.get(parts, F.lit(1)))).otherwise(parts[0])
-    return F.struct(last.alias("last"), F.when(suffixed, rest(2)).otherwise(rest(1)).alias("first"))
-
-
-def split_caps_surname(c: Column) -> Column:
-    """(last, first) where the surname is set in capitals: it starts with the first capitalised token; else as ``split_first_last``."""
-    tokens = F.split(norm(c), " ")
-    caps = F.transform(tokens, lambda t: (F.length(t) > 1) & (t == F.upper(t)) & t.rlike("[A-ZÀ-Þ]"))
-    at = F.array_position(caps, F.lit(True)).cast("int")
-    whole = split_first_last(c)
-    joined = lambda start, n: F.array_join(F.slice(tokens, start, n), " ")
-    return F.when(at > 1, F.struct(joined(at, F.size(tokens) - at + 1).alias("last"), joined(F.lit(1), F.greatest(at - 1, F.lit(0))).alias("first"))).otherwise(whole)
-
-
-def split_first_last(c: Column) -> Column:
-    """(last, first) of ``First Middle Last``: a suffix and leading particles belong to the surname."""
-    tokens = F.filter(F.split(norm(c), " "), lambda t: t != "")
-    n = F.size(tokens)
-    suffixed = (n > 2) & is_suffix(F.element_at(tokens, -1))
-    core = F.when(suffixed, n - 1).otherwise(n)
-    # The surname begins at the first particle after the given name, else at its last token.
-    particle = F.array_position(F.transform(tokens, lambda t, i: (i > 0) & (i < core - 1) & F.lower(t).isin(*PARTICLES)), F.lit(True)).cast("int")
-    start = F.when(particle > 0, particle).otherwise(core)
-    last = F.array_join(F.slice(tokens, F.greatest(start, F.lit(1)), n - F.greatest(start, F.lit(1)) + 1), " ")
-    first = F.array_join(F.slice(tokens, F.lit(1), F.greatest(start - 1, F.lit(0))), " ")
-    return F.when(n <= 1, F.struct(norm(c).alias("last"), F.lit("").alias("first"))).otherwise(F.struct(last.alias("last"), first.alias("first")))
+    """(last, first) of ``Last, First``; a suffix with a comma of its own stays with the surname; without a comma all is surname.
+
+    Parts are kept even if empty: of ``A,,B`` the given name is ``, B``.
+    """
+
+    def split(parts: Column) -> Column:
+        suffixed = (F.size(parts) >= 3) & is_suffix(F.get(parts, F.lit(1)))
+        rest = lambda n: F.array_join(F.slice(parts, n + 1, F.greatest(F.size(parts) - n, F.lit(0))), ", ")
+        last = F.when(suffixed, F.concat(parts[0], F.lit(", "), F.get(parts, F.lit(1)))).otherwise(parts[0])
+        return F.struct(last.alias("last"), F.when(suffixed, rest(2)).otherwise(rest(1)).alias("first"))
+
+    return let(F.transform(F.split(c, ","), lambda p: F.trim(p)), split)
+
+
+def split_caps_surname(c: Column, ranks: Column | None = None) -> Column:
+    """(last, first) where the surname is set in capitals: it starts with the first capitalised token.
+
+    Where no token or every token is capitalised the capitals tell nothing, and the name is split as ``split_first_last`` does.
+    """
+
+    def split(tokens: Column) -> Column:
+        caps = F.transform(tokens, lambda t: (F.length(t) > 1) & (t == F.upper(t)) & t.rlike("[A-ZÀ-Þ]"))
+        return let(F.struct(F.array_position(caps, F.lit(True)).cast("int").alias("at"), F.array_contains(caps, False).alias("others")), lambda x: divided(tokens, x["at"], x["others"]))
+
+    def divided(tokens: Column, at: Column, others: Column) -> Column:
+        told = F.struct(_words(tokens, at, F.size(tokens) - at + 1).alias("last"), _words(tokens, 1, at - 1).alias("first"))
+        return F.when((at > 0) & others, told)
+
+    return F.coalesce(let(F.split(norm(c), " "), split), split_first_last(c, ranks))
 
 
 def is_initial(token: Column) -> Column:
-    return token.rlike(r"^(?U:\w)\.?((?U:\w)\.)?$") & token.contains(".")
+    """``J.``, ``C`` or ``R.E.``: a letter, and after it letters each with a dot."""
+    return token.rlike(INITIAL)
+
+
+def rank_token(token: Column) -> Column:
+    """A token as rank tables hold it: word characters, apostrophes and hyphens, in lower case."""
+    return F.lower(F.regexp_replace(token, r"(?U)[^\w'-]", ""))
 
 
 def middle_verdict(token: Column, given_rank: Column, surname_rank: Column) -> Column:
-    """(surname_like, why) of a middle name by the ranks of its token among given names and surnames; a lower rank is commoner."""
-    like = lambda verdict, why: F.struct(F.lit(verdict).alias("surname_like"), F.lit(why).alias("why"))
+    """(surname_like, why, close) of a middle name by the ranks of its token among given names and surnames; a lower rank is commoner.
+
+    ``close`` marks calls worth a look: the token joined the surname, or it is at least as common as a surname.
+    """
+    like = lambda verdict, why, close=False: F.struct(F.lit(verdict).alias("surname_like"), F.lit(why).alias("why"), (close if isinstance(close, Column) else F.lit(close)).alias("close"))
     return (
         F.when(is_initial(token), like(False, "initial"))
         .when(surname_rank.isNull(), like(False, "no surname"))
-        .when(given_rank.isNull(), like(True, "no given name"))
-        .when(given_rank > GIVEN_RARE, like(True, "rare given name"))
-        .when((given_rank > GIVEN_UNCOMMON) & (surname_rank * SURNAME_TIMES < given_rank), like(True, "commoner surname"))
-        .otherwise(like(False, "given name"))
+        .when(given_rank.isNull(), like(True, "no given name", True))
+        .when(given_rank > GIVEN_RARE, like(True, "rare given name", True))
+        .when((given_rank > GIVEN_UNCOMMON) & (surname_rank * SURNAME_TIMES < given_rank), like(True, "commoner surname", True))
+        .otherwise(like(False, "given name", surname_rank <= given_rank))
     )
 
 
-def split_name(name_format: Column, c: Column) -> Column:
-    """(last, first) by the format a list is published in; unknown formats give null."""
-    clean = norm(without_pronouns(c))
-    return F.when(name_format == "last_first", split_last_first(clean)).when(name_format == "caps_surname", split_caps_surname(clean)).when(F.coalesce(name_format, F.lit("first_last")) == "first_last", split_first_last(clean))
+def name_parts(c: Column) -> Column:
+    """(first, middles, particles_on, suffix, nickname) of ``First Middle Last``.
+
+    A nickname in brackets or quotes is set aside, a suffix at the end too, with or without a comma; ``particles_on`` is the
+    surname from its particles on, as particles begin a surname, and ``middles`` what stands between.
+    """
+    # A nickname is what stands in round brackets or in double quotes, apart from the words around it.
+    mark = r"(?:\(([^()]*)\)|\"([^\"]*)\"|“([^”]*)”)"
+    nick = F.trim(F.concat(*(F.regexp_extract(c, mark, i) for i in (1, 2, 3))))
+    bare = norm(F.regexp_replace(c, mark, " "))
+    tokens = F.filter(F.split(F.regexp_replace(bare, r"\s*,\s*", " "), " "), lambda t: t != "")
+
+    def cored(tokens: Column) -> Column:
+        n = F.size(tokens)
+        return let(F.when((n > 2) & is_suffix(F.element_at(tokens, -1)), n - 1).otherwise(n), lambda core: begun(tokens, n, core))
 
+    def begun(tokens: Column, n: Column, core: Column) -> Column:
+        # The surname begins at the first particle after the given name, else at the last token.
+        particle = F.array_position(F.transform(tokens, lambda t, i: (i > 0) & (i < core - 1) & F.lower(t).isin(*PARTICLES)), F.lit(True)).cast("int")
+        return let(F.coalesce(F.nullif(particle, F.lit(0)), core), lambda start: parted(tokens, n, core, start))
 
-def candidate(name_format: Column, c: Column) -> Column:
+    def parted(tokens: Column, n: Column, core: Column, start: Column) -> Column:
+        return F.struct(
+            F.when(n > 1, F.get(tokens, F.lit(0))).otherwise("").alias("first"),
+            F.slice(tokens, 2, F.greatest(start - 2, F.lit(0))).alias("middles"),
+            F.when(n > 1, _words(tokens, start, core - start + 1)).otherwise(F.array_join(tokens, " ")).alias("surname"),
+            F.when(core < n, F.element_at(tokens, -1)).otherwise("").alias("suffix"),
+            nick.alias("nickname"),
+        )
+
+    return let(tokens, cored)
+
+
+def _ranks_of(ranks: Column | None, token: Column) -> tuple[Column, Column]:
+    if ranks is None:
+        return F.lit(None).cast("int"), F.lit(None).cast("int")
+    found = F.try_element_at(ranks, rank_token(token))
+    return found["given_rank"], found["surname_rank"]
+
+
+def split_first_last(c: Column, ranks: Column | None = None) -> Column:
+    """(last, first) of ``First Middle Last``: suffix and particles belong to the surname, a nickname to the given name.
+
+    Middle names are voted on one by one from the right and join the surname until one doesn't read as a surname.
+    ``ranks``: map<token, struct<given_rank, surname_rank>> of the row's tokens (``rank_token``); without it none joins.
+    """
+
+    def split(parts: Column) -> Column:
+        likes = F.transform(parts["middles"], lambda t: middle_verdict(t, *_ranks_of(ranks, t))["surname_like"])
+        # As many stay as stand before the last one that doesn't join.
+        stays = F.array_max(F.transform(likes, lambda x, i: F.when(x, 0).otherwise(i + 1)))
+        return let(F.coalesce(stays, F.lit(0)), lambda kept: joined(parts, kept))
+
+    def joined(parts: Column, kept: Column) -> Column:
+        middles = parts["middles"]
+        last = F.concat_ws(" ", F.nullif(_words(middles, kept + 1, F.size(middles) - kept), F.lit("")), parts["surname"], F.nullif(parts["suffix"], F.lit("")))
+        nickname = F.when(parts["nickname"] != "", F.concat(F.lit("("), parts["nickname"], F.lit(")")))
+        first = F.concat_ws(" ", F.nullif(parts["first"], F.lit("")), F.nullif(_words(middles, 1, kept), F.lit("")), nickname)
+        return F.when(parts["surname"] == "", F.struct(norm(c).alias("last"), F.lit("").alias("first"))).otherwise(_name(last, first))
+
+    return let(name_parts(c), split)
+
+
+def close_calls(c: Column, ranks: Column | None = None) -> Column:
+    """The middle names of ``First Middle Last`` voted on whose call was close: (token, surname_like, why)."""
+    middles = F.reverse(name_parts(c)["middles"])
+    votes = F.transform(middles, lambda t: F.struct(t.alias("token"), middle_verdict(t, *_ranks_of(ranks, t)).alias("v")))
+    # Voting stops at the first that stays with the given name.
+    stop = F.array_position(F.transform(votes, lambda x: ~x["v"]["surname_like"]), F.lit(True)).cast("int")
+    asked = F.when(stop > 0, F.slice(votes, 1, F.greatest(stop, F.lit(1)))).otherwise(votes)
+    return F.transform(F.filter(asked, lambda x: x["v"]["close"]), lambda x: F.struct(x["token"].alias("token"), x["v"]["surname_like"].alias("surname_like"), x["v"]["why"].alias("why")))
+
+
+def split_name(name_format: Column, c: Column, ranks: Column | None = None) -> Column:
+    """(last, first) by the format a list is published in, ``first_last`` where none is given.
+
+    An unknown format fails: a rule over the input (``name format known``) tells it before.
+    """
+    told = F.coalesce(name_format, F.lit("first_last"))
+
+    def split(clean: Column) -> Column:
+        return (
+            F.when(told.isin("last_first", "pre_split"), split_last_first(clean))
+            .when(told == "caps_surname", split_caps_surname(clean, ranks))
+            .when(told == "first_last", split_first_last(clean, ranks))
+            .otherwise(F.raise_error(F.concat(F.lit("unknown name format: "), told)).cast("struct<last: string, first: string>"))
+        )
+
+    return let(F.trim(without_pronouns(norm(c))), split)
+
+
+def candidate(name_format: Column, c: Column, ranks: Column | None = None) -> Column:
     """(name_raw, last_name, first_name): the surname in capitals, the given name as published; one without a letter is none."""
-    name = split_name(name_format, c)
-    first = F.when(name["first"].rlike(r"(?U)\w"), name["first"]).otherwise("")
-    return F.struct(norm(c).alias("name_raw"), F.upper(name["last"]).alias("last_name"), first.alias("first_name"))
+
+    def shown(name: Column) -> Column:
+        first = F.when(name["first"].rlike(r"(?U)\w"), name["first"]).otherwise("")
+        return F.struct(norm(c).alias("name_raw"), F.upper(name["last"]).alias("last_name"), first.alias("first_name"))
+
+    return let(split_name(name_format, c, ranks), shown)
 
 
 def display_name(last: Column, first: Column) -> Column:
@@ -104,7 +222,7 @@ def is_well_formed(name: Column) -> Column:
 
 def odd_characters(name: Column) -> Column:
     """Characters that are neither letters, digits nor ranked punctuation."""
-    return F.regexp_replace(name, r"[\p{L}\p{N}\p{M} \-,.'’()]", "")
+    return F.regexp_replace(name, rf"[\p{{L}}\p{{N}}\p{{M}}{re.escape(PUNCTUATION)}]", "")
 
 
 def integers(c: Column) -> Column:

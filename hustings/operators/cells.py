@@ -60,7 +60,7 @@ def _parts(kind: str) -> dict[str, str]:
         run = rf"{run}(?:and[{b}]+(?={opening}))?|[{b}]+(?:and[{b}]+)?(?={opening})"
         go_on = rf"(?!{opening}|and[{b}]+{opening}|{quoted})"
     value = rf"[^{s}{b}]+(?:[{b}]++{go_on}[^{s}{b}]+)*+"
-    return {"run": run, "quoted": rf"(?<=^|[{s}{b}]){quoted}", "value": value, "any": s}
+    return {"run": run, "quoted": rf"(?=[\"“])(?<=^|[{s}{b}]){quoted}", "value": value, "any": s}
 
 
 def _token_pattern(kind: str) -> str:
@@ -166,12 +166,12 @@ def skeletons(df: DataFrame, kind: str) -> DataFrame:
 
 
 def _unquoted(v: Column) -> Column:
-    v = F.regexp_replace(v, _TRIM, "")
+    """A value, which has no blanks at its ends, without the quotes around it; blanks at the ends of what they hold go too."""
     plain = v.rlike(r'^"(?:[^"]|"")*+"$')
     curly = v.rlike("^“[^”]*+”$")
     inner = F.substring(v, F.lit(2), F.length(v) - 2)
-    done = F.when(plain, F.replace(inner, F.lit('""'), F.lit('"'))).when(curly, inner).otherwise(v)
-    return F.regexp_replace(done, _TRIM, "")
+    held = F.when(plain, F.replace(inner, F.lit('""'), F.lit('"'))).when(curly, inner).otherwise(v)
+    return F.when(F.substring(v, 1, 1).isin('"', "“"), F.regexp_replace(held, _TRIM, "")).otherwise(v)
 
 
 def split_cells(df: DataFrame, row_id: str, cell: str, kind: str, count: str | None = None, broadcast_bytes: int = RULE_BROADCAST_BYTES) -> DataFrame:
@@ -186,7 +186,7 @@ def split_cells(df: DataFrame, row_id: str, cell: str, kind: str, count: str | N
     n = F.coalesce(F.col(count).cast("int"), F.lit(-1)) if count else F.lit(-1)
     cells = (
         df.select(F.col(row_id).alias("row_id"), F.col(cell).alias("cell"), n.alias("n"))
-        .filter(F.regexp_replace("cell", _TRIM, "") != "")
+        .filter(F.col("cell").rlike(rf"[^{_BLANK}\n\t]"))
         .withColumn("json", F.when(F.col("cell").rlike(r'(?s)^\s*\[\s*(".*")?\s*\]\s*$'), F.from_json("cell", "array<string>", {"mode": "PERMISSIVE"})))
     )
     cells = skeletons(cells, kind)

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hustings.operators.relational import varying_groups
+
 
 class ConstraintError(ValueError):
     """Some constraint doesn't hold; the message names each with examples."""
@@ -46,6 +48,31 @@ def covered(rule_id: str, df: DataFrame, other: DataFrame, *keys: str) -> Rule:
     return Rule(rule_id, lambda: df.select(*keys).distinct().join(other.select(*keys).distinct(), list(keys), "left_anti"), F.concat_ws("|", *(F.col(k).cast("string") for k in keys)))
 
 
+def claimed_once(rule_id: str, df: DataFrame, keys: list[str]) -> Rule:
+    """No key is claimed by several rows."""
+    return unique(rule_id, df, *keys)
+
+
+def invariant(rule_id: str, df: DataFrame, by: list[str], attributes: list[str]) -> Rule:
+    """The attributes are the same in every row of a group, nulls being a value."""
+    return Rule(rule_id, lambda: varying_groups(df, by, attributes), F.concat_ws("|", *(F.col(k).cast("string") for k in by)))
+
+
+def same_members(rule_id: str, df: DataFrame, by: list[str], member: str, expected: Iterable[str]) -> Rule:
+    """Every group has exactly the expected members."""
+    wanted = F.array(*(F.lit(x) for x in sorted(expected)))
+
+    def differ() -> DataFrame:
+        return df.groupBy(*by).agg(F.array_sort(F.collect_set(member)).alias("members")).filter(F.col("members") != wanted)
+
+    return Rule(rule_id, differ, F.concat_ws("|", *(F.col(k).cast("string") for k in by)))
+
+
+def disjoint(rule_id: str, left: DataFrame, right: DataFrame, *keys: str) -> Rule:
+    """No key is on both sides."""
+    return Rule(rule_id, lambda: left.select(*keys).intersect(right.select(*keys)), F.concat_ws("|", *(F.col(k).cast("string") for k in keys)))
+
+
 def empty(rule_id: str, violations: Callable[[], DataFrame], key: str) -> Rule:
     """A query expected to give nothing."""
     return Rule(rule_id, violations, F.col(key).cast("string"))

@@ -68,6 +68,11 @@ def ranked_pick(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> Da
     return df.withColumn("_pick", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter("_pick = 1").drop("_pick")
 
 
+def first_of(df: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
+    """(by, first): the least value of ``order``, a struct, of each group; aggregated before the shuffle, so a hot group gathers nowhere."""
+    return df.groupBy(*by).agg(F.min(order).alias("first"))
+
+
 def lookup(asked: DataFrame, served: DataFrame, keys: Sequence[str], sentinel: Mapping[str, str]) -> DataFrame:
     """Asked rows with what is served for them; a missing key part reads as its sentinel, an unknown one stays unmatched."""
     filled = asked.withColumns({k: F.coalesce(k, F.lit(v)) for k, v in sentinel.items()})
@@ -88,11 +93,14 @@ def part_domain(df: DataFrame, area: str, part: str, sentinel: str) -> DataFrame
     return df.select(area, part).distinct().union(df.select(area, F.lit(sentinel)).distinct()).distinct()
 
 
-def dense(domain: DataFrame, axis: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every row of ``domain`` with every row of the short list ``axis``, and the facts of that cell or nulls."""
-    names = axis.columns
-    cells = domain.withColumn("_axis", F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r))) for r in axis.collect()))).select("*", F.explode("_axis").alias("_cell"))
-    return cells.select(*domain.columns, *(f"_cell.{n}" for n in names)).join(facts, list(keys), "left")
+def dense(domain: DataFrame, axis: Mapping[str, Sequence], facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row of ``domain`` with every value of a stated short list, and the facts of that cell or nulls.
+
+    ``axis``: {column: values}; the list is part of the plan, so nothing is collected.
+    """
+    ((name, values),) = axis.items()
+    cells = domain.withColumn(name, F.explode(F.array(*map(F.lit, values))))
+    return cells.join(facts, list(keys), "left")
 
 
 # --- overlays --------------------------------------------------------------------------------------------------------

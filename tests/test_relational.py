@@ -59,9 +59,8 @@ def test_serve_equals_the_condition(spark):
 
 def test_dense_and_lookup(spark):
     domain = spark.createDataFrame([("c", "W"), ("d", "W")], "area string, part string")
-    axis = spark.createDataFrame([("a",), ("b",)], "stem string")
     facts = spark.createDataFrame([("c", "W", "a", 1)], "area string, part string, stem string, n int")
-    cells = R.dense(domain, axis, facts, ["area", "part", "stem"])
+    cells = R.dense(domain, {"stem": ["a", "b"]}, facts, ["area", "part", "stem"])
     assert cells.count() == 4 and cells.filter("n IS NOT NULL").count() == 1
     asked = spark.createDataFrame([("c", None), ("c", "W"), ("x", "W")], "area string, part string")
     assert [r["n"] for r in R.lookup(asked, facts.drop("stem"), ["area", "part"], {"part": "99"}).orderBy(F.desc_nulls_last("n")).collect()] == [1, None, None]
