@@ -56,14 +56,6 @@ def deliveries(df: DataFrame) -> DataFrame:
     return read.withColumn("rank", F.row_number().over(last)).filter("rank = 1").select("census_id", "build_no", "body")
 
 
-def fused(delivered: DataFrame) -> DataFrame:
-    """(census_id, build_no, half, ward, member, kind, value): one row per member of a `fields`, shared or of a ward."""
-    key = ["census_id", "build_no"]
-    shared = delivered.select(*key, F.lit("shared").alias("half"), F.lit(None).cast("string").alias("ward"), F.explode("body.shared.fields").alias("member", "v"))
-    wards = delivered.select(*key, F.explode("body.wards").alias("ward", "entry")).select(*key, F.lit("wards").alias("half"), "ward", F.explode("entry.fields").alias("member", "v"))
-    return shared.unionByName(wards).select(*key, "half", "ward", "member", value_kind(F.col("v")).alias("kind"), F.to_json("v").alias("value"))
-
-
 def _signature(rows: DataFrame, by: list[str]) -> DataFrame:
     """An order-free signature of (ward, value) pairs: their number, the sum and the exclusive or of their hashes."""
     h = F.xxhash64("ward", "value")
@@ -145,26 +137,92 @@ def drift(df: DataFrame) -> DataFrame:
     return told.unionByName(retyped)
 
 
-def tagged_union(df: DataFrame) -> DataFrame:
-    """The consistent table: one row per (census_id, build_no, ward, half, member) with a branch for each type, and one canonical form.
+def _entries(v: Column) -> Column:
+    """The members of an object; anything else is a leaf, held under the empty name."""
+    return F.coalesce(F.try_variant_get(v, "$", "map<string, variant>"), F.create_map(F.lit(""), v))
+
+
+def leaves(df: DataFrame) -> DataFrame:
+    """(census_id, build_no, half, ward, section, member, v): every leaf of the delivery received last of each municipality and build.
+
+    ``half`` is ``shared``, ``wards`` or, for other members of the payload, ``record``; ``section`` is ``fields``, ``names`` or whatever else
+    an entry holds.  What isn't an object where one is expected is a leaf with an empty ``section`` or ``member``.
+    """
+    doc = F.try_parse_json(json_body(F.col("payload")))
+    read = spread(df.select("record_id", "census_id", "build_no", "received_at", "payload")).select("record_id", "census_id", "build_no", "received_at", doc.alias("doc"))
+    part = lambda name: F.try_variant_get("doc", f"$.{name}", "map<string, variant>")
+    read = read.filter(F.col("census_id").isNotNull() & F.col("build_no").isNotNull() & (part("wards").isNotNull() | part("shared").isNotNull()))
+    last = Window.partitionBy("census_id", "build_no").orderBy(F.desc_nulls_last("received_at"), F.desc_nulls_last("record_id"))
+    read = read.withColumn("rank", F.row_number().over(last)).filter("rank = 1")
+    key = ["census_id", "build_no"]
+    top = read.select(*key, F.explode(_entries(F.col("doc"))).alias("half", "held"))
+    # Labels of wards are data; the shared half has none.
+    in_wards = F.transform(F.map_entries(_entries(F.col("held"))), lambda e: F.struct(e["key"].alias("ward"), e["value"].alias("entry")))
+    entry = F.when(F.col("half") == "wards", in_wards).otherwise(F.array(F.struct(F.lit(None).cast("string").alias("ward"), F.col("held").alias("entry"))))
+    entries = top.select(*key, "half", F.explode(entry).alias("e")).select(*key, "half", "e.ward", "e.entry")
+    halved = F.col("half").isin("shared", "wards")
+    sections = entries.select(*key, "half", "ward", F.explode(F.when(halved, _entries(F.col("entry"))).otherwise(F.create_map("half", "entry"))).alias("section", "held"))
+    members = sections.select(*key, "half", "ward", "section", F.explode(F.when(halved, _entries(F.col("held"))).otherwise(F.create_map("section", "held"))).alias("member", "v"))
+    return members.select(*key, F.when(halved, F.col("half")).otherwise("record").alias("half"), "ward", F.when(halved, F.col("section")).otherwise("").alias("section"), "member", "v")
+
+
+def fused_schema(df: DataFrame) -> DataFrame:
+    """(half, section, member, kind, n, first_build, last_build): the schema inferred from all deliveries, each alternative type of a path with when it appears."""
+    rows = leaves(df).withColumn("kind", value_kind(F.col("v"))).filter("kind IS NOT NULL")
+    return rows.groupBy("half", "section", "member", "kind").agg(F.count(F.lit(1)).alias("n"), F.min("build_no").alias("first_build"), F.max("build_no").alias("last_build"))
+
 
-    ``as_number``, ``as_text``, ``as_boolean`` and ``as_array`` hold the value in the branch of its own type; ``canonical`` is the
-    integer all of them stand for (``true`` is 1, ``["2"]`` and ``"2"`` are 2), null where there is none.  ``alternatives`` names
-    the types that the member was seen with in any delivery.
+#: A name is another form of a common one if at least so many renames, and more than this share of all it takes part in, are to or from that one.
+LEAST_RENAMES, RENAME_SHARE = 2, 0.5
+
+
+def aliases(changes: DataFrame, common: DataFrame) -> DataFrame:
+    """(member, canonical_member): other names of the common fields, by the renames found between all builds.
+
+    ``changes`` as ``drift`` gives them, ``common`` (member).  A rename that fits by chance links names once; names that a
+    municipality really uses for a field are renamed to and from it again and again, so the field with most of a name's renames is taken.
+    """
+    bare = lambda c: F.regexp_replace(c, r"^(?:wards|shared)\.", "")
+    pairs = changes.filter("change_kind = 'renamed'").select(bare("old_field").alias("a"), bare("new_field").alias("b")).filter("a <> b")
+    both = pairs.union(pairs.select("b", "a")).groupBy(F.col("a").alias("member"), F.col("b").alias("other")).agg(F.count(F.lit(1)).alias("n"))
+    known = common.select(F.col("member").alias("other")).distinct()
+    total = both.groupBy("member").agg(F.sum("n").alias("total"))
+    best = both.join(known, "other", "left_semi").groupBy("member").agg(F.max(F.struct("n", F.col("other"))).alias("best"))
+    fits = best.join(total, "member").filter((F.col("best.n") >= LEAST_RENAMES) & (F.col("best.n") > RENAME_SHARE * F.col("total")))
+    return fits.join(common.select("member").distinct(), "member", "left_anti").select("member", F.col("best.other").alias("canonical_member"))
+
+
+def tagged_union(df: DataFrame, common: DataFrame | None = None) -> DataFrame:
+    """The consistent table: one row per leaf of every payload, with a branch for each type, and one canonical form.
+
+    ``as_number``, ``as_text``, ``as_boolean``, ``as_array`` and ``as_object`` hold the value in the branch of its own type; blank, null and missing
+    values are in none.  ``canonical_text`` is what all types of a field come to: ``true`` is ``1``, ``2.0``, ``"2"`` and ``["2"]`` are
+    ``2``, other texts without blanks at their ends, other arrays and objects their JSON; ``canonical`` is the integer it stands for, null
+    where it stands for none.  ``alternatives`` names the types that the path was seen with in any delivery.  ``canonical_member`` is the
+    common name of a field that was renamed (``common``: (member), the common fields; without it names stay).
     """
-    rows = fused(deliveries(df))
-    kinds = rows.filter("kind IS NOT NULL").groupBy("half", "member").agg(F.array_sort(F.collect_set("kind")).alias("alternatives"))
-    text = F.from_json(F.concat(F.lit('{"v":'), "value", F.lit("}")), "struct<v: string>")["v"]
-    tagged = rows.join(kinds.withColumnRenamed("half", "h").withColumnRenamed("member", "m"), (F.col("half") == F.col("h")) & (F.col("member") == F.col("m")), "left")
-    tagged = tagged.withColumn("text", text)
+    rows = leaves(df).withColumn("kind", value_kind(F.col("v")))
+    kinds = fused_schema(df).groupBy("half", "section", "member").agg(F.array_sort(F.collect_set("kind")).alias("alternatives"))
+    named = aliases(drift(df), common) if common is not None else None
+    tagged = rows.join(control(materialise(kinds)), ["half", "section", "member"], "left")
+    if named is not None:
+        tagged = tagged.join(control(materialise(named.select(F.lit("fields").alias("section"), "member", "canonical_member"))), ["section", "member"], "left")
+    else:
+        tagged = tagged.withColumn("canonical_member", F.lit(None).cast("string"))
+    scalar = F.try_variant_get("v", "$", "string")
+    only = F.try_variant_get("v", "$", "array<string>")
+    one = F.when((F.col("kind") == "array") & (F.size(only) == 1), F.get(only, F.lit(0))).when(F.col("kind").isin("array", "object"), F.to_json("v")).otherwise(scalar)
+    text = F.trim(one)
+    text = F.when(F.lower(text) == "true", "1").when(F.lower(text) == "false", "0").otherwise(F.regexp_replace(text, r"^([+-]?[0-9]+)\.0+$", "$1"))
     branch = lambda kind, c: F.when(F.col("kind") == kind, c)
-    whole = F.regexp_extract("text", r'^[\[\s"]*(-?[0-9]+)(?:\.0+)?[\s"\]]*$', 1).try_cast("int")
-    return tagged.select(
-        "census_id", "build_no", "half", "ward", "member", "kind",
-        branch("number", F.expr("try_cast(text AS double)")).alias("as_number"),
-        branch("string", F.col("text")).alias("as_text"),
-        branch("boolean", F.col("text") == "true").alias("as_boolean"),
-        branch("array", F.col("value")).alias("as_array"),
-        F.when(F.col("kind") == "boolean", (F.col("text") == "true").cast("int")).when(F.col("kind").isNotNull(), whole).alias("canonical"),
+    return tagged.withColumn("canonical_text", F.when(F.col("kind").isNotNull(), text)).select(
+        "census_id", "build_no", "half", "ward", "section", "member", F.coalesce("canonical_member", "member").alias("canonical_member"), "kind",
+        branch("number", F.try_variant_get("v", "$", "double")).alias("as_number"),
+        branch("string", scalar).alias("as_text"),
+        branch("boolean", F.try_variant_get("v", "$", "boolean")).alias("as_boolean"),
+        branch("array", F.to_json("v")).alias("as_array"),
+        branch("object", F.to_json("v")).alias("as_object"),
+        F.when(F.col("canonical_text").rlike("^[+-]?[0-9]{1,10}$"), F.col("canonical_text").try_cast("int")).alias("canonical"),
+        "canonical_text",
         F.coalesce("alternatives", F.array().cast("array<string>")).alias("alternatives"),
     )
