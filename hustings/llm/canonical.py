@@ -5,11 +5,13 @@ normalisation; only those are normalised, each with the character before it as
 boundary context, and spliced into the unchanged rest.  A coarser check runs in
 the JVM first, so a text of stable blocks alone never reaches Python.
 
-The form: canonically composed (NFC); full-width, half-width and presentation
+Two forms are given.  The comparison key: canonically composed (NFC); full-width, half-width and presentation
 forms, ligatures and one-letter numerals as their ordinary characters; letters
 of other scripts that look like a Latin one as that one; every kind of blank as
 a space, runs of them as one and none at the ends; every kind of hyphen as ``-``;
 invisible characters left out.  Letter case, accents and visible punctuation stay.
+The text form is the same but for look-alike letters, which it replaces only in
+words that mix them with Latin ones: a word of another script stays what it is.
 """
 
 from __future__ import annotations
@@ -56,9 +58,9 @@ _LETTER = _letters()
 STABLE_BLOCKS = ((0x9, 0xA), (0xD, 0xD), (0x20, 0x7E), (0xC0, 0x131), (0x14A, 0x17E), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
 
 
-@lru_cache(maxsize=1 << 16)
-def _of_character(c: str) -> str:
-    """What one character stands for, before composition."""
+@lru_cache(maxsize=1 << 17)
+def _of_character(c: str, letters: bool = True) -> str:
+    """What one character stands for, before composition; ``letters``: look-alikes stand for the Latin letter."""
     category = unicodedata.category(c)
     if c in INVISIBLE or (category == "Cf" and c not in VISIBLE_FORMATS) or (category == "Cc" and c not in "\t\n\r") or "\ufe00" <= c <= "\ufe0f" or "\U000e0100" <= c <= "\U000e01ef":
         return ""
@@ -70,18 +72,30 @@ def _of_character(c: str) -> str:
     if tag in KEPT_LOOK:
         wide = "".join(chr(int(x, 16)) for x in rest.split())
         if " " not in wide:
-            return "".join(map(_of_character, wide))
-    return "".join(_LETTER.get(x, x) for x in unicodedata.normalize("NFD", c))
+            return "".join(_of_character(x, letters) for x in wide)
+    return "".join(_LETTER.get(x, x) if letters or x in HYPHENS else x for x in unicodedata.normalize("NFD", c))
 
 
 @lru_cache(maxsize=1 << 16)
-def normal_segment(segment: str) -> str:
-    return unicodedata.normalize("NFC", "".join(map(_of_character, segment)))
+def normal_segment(segment: str, letters: bool = True) -> str:
+    return unicodedata.normalize("NFC", "".join(_of_character(c, letters) for c in segment))
 
 
-def reference_form(text: str) -> str:
+def reference_form(text: str, letters: bool = True) -> str:
     """The whole text normalised at once: what splicing has to give."""
-    return unicodedata.normalize("NFC", "".join(map(_of_character, text)))
+    return _unmixed(unicodedata.normalize("NFC", "".join(_of_character(c, letters) for c in text)), letters)
+
+
+_FOREIGN = re.compile("[" + "".join(k for k in _LETTER if k not in HYPHENS) + "]")
+_WORD = re.compile(r"\w+(?:['’]\w+)*")
+
+
+def _unmixed(text: str, letters: bool) -> str:
+    """Look-alikes replaced in words that hold Latin letters too; nothing to do where all have been replaced."""
+    if letters or not _FOREIGN.search(text):
+        return text
+    mixed = lambda m: unicodedata.normalize("NFC", "".join(_LETTER.get(c, c) for c in unicodedata.normalize("NFD", m.group()))) if re.search("[A-Za-z]", m.group()) and _FOREIGN.search(m.group()) else m.group()
+    return _WORD.sub(mixed, text)
 
 
 @lru_cache(maxsize=1)
@@ -128,21 +142,22 @@ def _segments(python_class: str) -> re.Pattern:
     return re.compile(f"[^{python_class}]?[{python_class}]+")
 
 
-def splice(text: str, python_class: str | None = None) -> str:
+def splice(text: str, python_class: str | None = None, letters: bool = True) -> str:
     """``text`` with its unstable segments normalised and the rest untouched."""
-    return _segments(python_class or _class()).sub(lambda m: normal_segment(m.group()), text)
+    return _unmixed(_segments(python_class or _class()).sub(lambda m: normal_segment(m.group(), letters), text), letters)
 
 
-def canonical_text(text: Column, single_line: bool = False) -> Column:
+def canonical_text(text: Column, single_line: bool = False, key: bool = True) -> Column:
     """The consistent form of a text column; null stays null.
 
-    ``single_line``: tabs and line ends are blanks too, as in labels and names.
+    ``single_line``: tabs and line ends are blanks too, as in labels and names.  ``key``: the comparison key, in which look-alike
+    letters of other scripts are the Latin ones; without it the text form, fit to be read and trained on.
     """
     ours = _class()
 
     @F.pandas_udf("string")
     def spliced(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else splice(t, ours), na_action="ignore")
+        return texts.map(lambda t: None if t is None else splice(t, ours, key), na_action="ignore")
 
     unstable = text.rlike(outside_stable_blocks())
     form = F.when(unstable, spliced(F.when(unstable, text))).otherwise(text)
@@ -150,24 +165,50 @@ def canonical_text(text: Column, single_line: bool = False) -> Column:
     return F.trim(form)
 
 
-def lookalike_pairs(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequence[str]) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: rows equal in ``same`` whose ``looks`` look the same while one of them differs in its characters.
+#: Rows of one class that are paired in one task are about so many times those of the class; larger classes are split.
+PAIRED_TOGETHER = 2_000
+
+
+def _hashed(columns: Sequence[str], seed: str) -> Column:
+    """64 bits of several columns, told apart by their places."""
+    return F.xxhash64(F.lit(seed), *(v for i, c in enumerate(columns) for v in (F.lit(i), F.col(c))))
+
+
+def _members(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequence[str]) -> DataFrame:
+    """(id, g1, g2, w1, w2): rows of classes that are written in several ways; 128 bits for the class, 128 for the writing, no text.
 
-    Rows with a null in any of these columns pair with none.  Groups all of whose rows are written alike are left
-    out before any pairing; rows written alike never meet, so what a group gives is as large as the result.
-    A row repeated under one id pairs as one.
+    A class is ``same`` and the comparison keys of ``looks``.
     """
     s, c, x = ([f"{p}{i}" for i in range(len(n))] for p, n in (("s", same), ("c", looks), ("x", looks)))
-    rows = spread(df).select(
-        F.col(row_id).alias("id"),
-        *(F.col(n).alias(a) for n, a in zip(same, s)),
-        *(F.col(n).alias(a) for n, a in zip(looks, x)),
-    ).dropna()
-    rows = materialise(rows.select("id", *s, *x, *(canonical_text(F.col(a), single_line=True).alias(b) for a, b in zip(x, c))))
-    written = F.xxhash64(*(v for i, a in enumerate(x) for v in (F.lit(i), F.col(a))))
-    several = rows.groupBy(*s, *c).agg(F.min(written).alias("least"), F.max(written).alias("most")).filter("least <> most").select(*s, *c)
-    rows = materialise(rows.join(several, [*s, *c], "left_semi").dropDuplicates(["id", *x]))
-    a, b = rows.alias("a"), rows.alias("b")
-    differ = " OR ".join(f"a.{n} <> b.{n}" for n in x)
-    meet = " AND ".join(f"a.{n} = b.{n}" for n in [*s, *c])
-    return a.join(b, F.expr(f"{meet} AND a.id < b.id AND ({differ})")).select(F.col("a.id").alias(f"{row_id}_a"), F.col("b.id").alias(f"{row_id}_b"))
+    rows = spread(df).select(F.col(row_id).alias("id"), *(F.col(n).alias(a) for n, a in zip(same, s)), *(F.col(n).alias(a) for n, a in zip(looks, x))).dropna()
+    rows = rows.select("id", *s, *x, *(canonical_text(F.col(a), single_line=True).alias(b) for a, b in zip(x, c)))
+    rows = materialise(rows.select("id", *(_hashed([*s, *c], seed).alias(f"g{seed}") for seed in "12"), *(_hashed(x, seed).alias(f"w{seed}") for seed in "12")))
+    written = F.struct("w1", "w2")
+    several = rows.groupBy("g1", "g2").agg(F.min(written).alias("least"), F.max(written).alias("most"), F.count(F.lit(1)).alias("n")).filter("least <> most").select("g1", "g2", "n")
+    # A row repeated under one id is one row.
+    return rows.join(several, ["g1", "g2"]).dropDuplicates(["g1", "g2", "id", "w1", "w2"])
+
+
+def lookalike_classes(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequence[str]) -> DataFrame:
+    """(class_id, id, writing): the rows of every class that is written in several ways; ``class_id`` is its least id, ``writing`` the least id written so.
+
+    As large as its part of the input, however many pairs a class holds.  Rows with a null in any of these columns are in no class.
+    """
+    members = materialise(_members(df, row_id, same, looks))
+    classes = members.groupBy("g1", "g2", "w1", "w2").agg(F.min("id").alias("writing"))
+    least = classes.groupBy("g1", "g2").agg(F.min("writing").alias("class_id"))
+    return members.join(classes, ["g1", "g2", "w1", "w2"]).join(least, ["g1", "g2"]).select("class_id", F.col("id").alias(row_id), "writing")
+
+
+def lookalike_pairs(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequence[str], paired_together: int = PAIRED_TOGETHER) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: rows equal in ``same`` whose ``looks`` look the same while one of them differs in its characters.
+
+    Rows with a null in any of these columns pair with none.  Classes all of whose rows are written alike are left
+    out before any pairing; rows written alike never pair, so what a class gives is as large as the result.  Large classes are
+    split, one side by a salt that the other side is repeated for.  A row repeated under one id pairs as one.
+    """
+    members = materialise(_members(df, row_id, same, looks).withColumn("salts", F.greatest(F.lit(1), F.ceil(F.col("n") / paired_together)).cast("int")))
+    a = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts").cast("bigint")).cast("int")).alias("a")
+    b = members.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("b")
+    meet = "a.g1 = b.g1 AND a.g2 = b.g2 AND a.salt = b.salt AND a.id < b.id AND (a.w1 <> b.w1 OR a.w2 <> b.w2)"
+    return a.join(b, F.expr(meet)).select(F.col("a.id").alias(f"{row_id}_a"), F.col("b.id").alias(f"{row_id}_b"))

@@ -40,31 +40,44 @@ MOST_LENGTHS = 1 << 16
 
 def bucket_boundaries(histogram: dict[int, int], buckets: int) -> list[int]:
     """Upper boundaries of at most ``buckets`` buckets that minimise the padding of all items to their boundary."""
-    lengths = np.array(sorted(n for n in histogram if n > 0), np.int64)
-    if not len(lengths):
-        return []
-    counts = np.array([histogram[int(n)] for n in lengths], np.float64)
-    total = np.concatenate([[0.0], np.cumsum(counts)])
+    lengths = sorted(n for n in histogram if n > 0)
     m = len(lengths)
-    # cost(i, j): slots taken by lengths i..j-1 when each is padded to lengths[j-1]; padding differs from it by a constant.
-    best = np.where(np.arange(m + 1) == 0, 0.0, np.inf)
-    came = []
+    total = [0]
+    for n in lengths:
+        total.append(total[-1] + histogram[n])
+    # Padding differs from the slots taken by a constant: lengths i..j-1, each padded to lengths[j-1], take (total[j] - total[i]) * lengths[j-1].
+    # best[j] = min over i of (best[i] - total[i] * x) + total[j] * x at x = lengths[j-1]: the lower hull of lines whose slopes fall and whose
+    # queries rise, so each is added and left once.  Memory and time grow with the number of lengths, times the buckets; integers are exact.
+    best: list[int | None] = [0] + [None] * m
+    came: list[list[int]] = []
     for _ in range(min(buckets, m)):
-        costs = best[None, :] + np.where(np.arange(m + 1)[None, :] < np.arange(m + 1)[:, None], (total[:, None] - total[None, :]) * np.concatenate([[0], lengths])[:, None], np.inf)
-        costs[0] = np.inf
-        back = costs.argmin(axis=1)
-        reached = costs[np.arange(m + 1), back]
+        reached: list[int | None] = [None] * (m + 1)
+        back, hull, at = [0] * (m + 1), [], 0
+        for j in range(1, m + 1):
+            i = j - 1
+            if best[i] is not None:
+                while len(hull) - at >= 2:
+                    p, q = hull[-2], hull[-1]
+                    # q is nowhere lowest if the new line crosses p no later than q does.
+                    if (best[i] - best[p]) * (total[q] - total[p]) <= (best[q] - best[p]) * (total[i] - total[p]):
+                        hull.pop()
+                    else:
+                        break
+                hull.append(i)
+            if len(hull) == at:
+                continue
+            x = lengths[j - 1]
+            while at + 1 < len(hull) and best[hull[at + 1]] - total[hull[at + 1]] * x <= best[hull[at]] - total[hull[at]] * x:
+                at += 1
+            back[j], reached[j] = hull[at], best[hull[at]] + (total[j] - total[hull[at]]) * x
         came.append(back)
-        best = np.minimum(reached, np.inf)
-        best[0] = 0.0 if not came[:-1] else np.inf
-        if len(came) == 1:
-            best[0] = np.inf
+        best = reached
     boundaries, j = [], m
     for back in reversed(came):
-        boundaries.append(int(lengths[j - 1]))
-        j = int(back[j])
         if j == 0:
             break
+        boundaries.append(lengths[j - 1])
+        j = back[j]
     return sorted(boundaries)
 
 
@@ -164,8 +177,9 @@ def pack(lengths: DataFrame, capacity: int = CAPACITY, ranked_together: int = RA
         for pdf in batches:
             container = np.zeros(len(pdf), np.int64)
             n, rank = pdf["n"].to_numpy(), pdf["rank"].to_numpy()
-            for length in np.unique(n):
-                at = np.flatnonzero(n == length)
+            order = np.argsort(n, kind="stable")
+            each_length, begins = np.unique(n[order], return_index=True)
+            for length, at in zip(each_length, np.split(order, begins[1:])):
                 if length == 0:
                     container[at] = rank[at] % max(1, containers)
                     continue

@@ -378,7 +378,7 @@ def learned_words(source: DataFrame) -> dict[tuple[str, str], frozenset[str]]:
             yield pa.RecordBatch.from_pylist([dict(zip(("script", "code", "word", "n"), r)) for r in rows], schema=_COUNTED)
 
     counted = spread(source.filter(_unlisted(F.col("text"), F.col("lang"))).select("text", "lang")).mapInArrow(count, "script string, code string, word string, n bigint")
-    words = counted.groupBy("script", "code", "word").agg(F.sum("n").alias("n"))
+    words = materialise(counted.groupBy("script", "code", "word").agg(F.sum("n").alias("n")))
     # Of each language the most frequent words and, under the empty word, its number of texts; ranked by aggregation, not in one task a language.
     texts = words.filter(f"word = '' AND n >= {LEAST_TEXTS}").select("script", "code", F.col("n").alias("texts"))
     known = words.filter("word <> ''").join(texts, ["script", "code"]).filter(F.col("n") >= COMMON * F.col("texts"))

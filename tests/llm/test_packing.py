@@ -1,6 +1,7 @@
 import bisect
 import itertools
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import pytest
@@ -20,6 +21,16 @@ def test_boundaries_are_optimal():
         assert len(got) <= buckets and cost(got) == best
 
 
+def test_boundaries_of_many_lengths_take_little_memory():
+    rng = random.Random(4)
+    histogram = {n: rng.randint(1, 10**9) for n in range(1, 20_001)}
+    tracemalloc.start()
+    got = bucket_boundaries(histogram, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 16 and got[-1] == 20_000 and peak < 100 << 20
+
+
 def test_patterns_hold_everything_and_are_few():
     rng = random.Random(2)
     for _ in range(100):
