@@ -205,3 +205,94 @@ def record_tables(df: DataFrame, row_id: str = "record_id", text: str = "races")
         .select(row_id, "node", "parent", "cand_pos", F.coalesce("text", "raw").alias("name_raw"))
     )
     return {"race": race, "district": district, "name": name}
+
+
+# --- tables by schema path -------------------------------------------------------------------------------------------
+
+
+def table_name(path: str) -> str:
+    """A schema path as a name: ``{}[].districts{}`` is ``each_item_districts_each``, the root ``document``."""
+    words = re.sub(r"[^0-9A-Za-z]+", "_", path.replace("{}", ".each.").replace("[]", ".item.")).strip("_").lower()
+    return words or "document"
+
+
+def schema_paths(labelled: DataFrame) -> DataFrame:
+    """(path, kind, n, depth): the schema of all documents, each path with every kind of value it was seen with."""
+    return labelled.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("label")).alias("depth"))
+
+
+def tables_by_path(df: DataFrame, row_id: str, text: str, keyed: Iterable[str] = (), most_paths: int = 10_000) -> dict[str, DataFrame]:
+    """A flat table for every schema path whose nodes are rows, of documents of any shape; nothing of a document is lost.
+
+    Rows are what repeats: the elements of arrays and the members of objects with data keys (``keyed``), and the document itself.  A
+    table has ``node`` (the label, a key beside the row's id), ``parent`` (the node of the nearest row above, got by truncating the label),
+    ``parent_table``, ``pos`` (its place among its siblings), ``key`` (its data key), ``kind``, ``value`` (of a scalar element) and a column
+    for every scalar below it that doesn't repeat, named by the path to it; objects between are folded into those names.  Values stay text,
+    with a column ``..._kind`` where a path holds several kinds.  Two paths that differ only in other than letters and digits get numbers.
+
+    A document without any member gives no row.  The documents are walked once.  Only the schema - paths and kinds, at most ``most_paths`` - reaches the driver.
+    """
+    every = materialise(nodes(df, row_id, text, keyed))
+    seen = schema_paths(every).limit(most_paths + 1).collect()
+    if len(seen) > most_paths:
+        raise ValueError(f"more than {most_paths} schema paths: name the objects whose member names are data as keyed")
+    kinds: dict[str, set[str]] = {}
+    depths = {"": 0}
+    for r in seen:
+        kinds.setdefault(r["path"], set()).add(r["kind"])
+        depths[r["path"]] = r["depth"]
+    repeats = lambda p: p.endswith("[]") or p.endswith("{}")
+    # The document is the row of the root, whose label is empty.
+    row_paths = ["", *sorted(p for p in kinds if repeats(p))]
+    names: dict[str, str] = {}
+    for p in row_paths:
+        base = name = table_name(p)
+        n = 1
+        while name in names.values():
+            n += 1
+            name = f"{base}_{n}"
+        names[p] = name
+
+    def row_above(path: str) -> str:
+        return max((p for p in row_paths if path.startswith(p) and path != p and (p == "" or path[len(p)] in ".{[")), key=len)
+
+    text_label = lambda a: F.array_join(F.transform(a, lambda i: i.cast("string")), ".")
+    columns: dict[str, dict[str, str]] = {p: {} for p in row_paths}
+    for path, found in sorted(kinds.items()):
+        if not repeats(path) and found - {"object", "array"}:
+            above = row_above(path)
+            base = name = table_name(path[len(above) :].lstrip("."))
+            n = 1
+            while name in columns[above] or f"{name}_kind" in columns[above] or name in (row_id, "node", "parent", "parent_table", "pos", "key", "kind", "value"):
+                n += 1
+                name = f"{base}_{n}"
+            columns[above][name] = path
+    out = {}
+    for path, name in names.items():
+        depth = depths[path]
+        node = text_label(F.slice("label", 1, depth)) if depth else F.lit("")
+        of_row = [*columns[path].values(), *([path] if path else [])]
+        rows = every.filter(F.col("path").isin(of_row)) if path else every.filter(F.col("path").isin(of_row) | (F.size("label") == 1))
+        own = F.col("path") == path
+        # A scalar member of an element and the element itself meet by the element's label; an element's own node makes the row.
+        scalars = []
+        for column, at in columns[path].items():
+            here = F.col("path") == at
+            scalars.append(F.max(F.when(here, F.col("value"))).alias(column))
+            if len(kinds[at]) > 1:
+                scalars.append(F.max(F.when(here, F.col("kind"))).alias(f"{column}_kind"))
+        if path:
+            above = row_above(path)
+            about = [F.max(F.when(own, F.col("label"))).alias("_label"), F.max(F.when(own, F.element_at("keys", -1))).alias("key"), F.max(F.when(own, F.col("kind"))).alias("kind"), F.max(F.when(own, F.col("value"))).alias("value")]
+            grouped = rows.groupBy(row_id, node.alias("node")).agg(*about, *scalars)
+            parent = text_label(F.slice("_label", 1, depths[above])) if above else F.lit("")
+            out[name] = grouped.select(row_id, "node", parent.alias("parent"), F.lit(names[above]).alias("parent_table"), F.element_at("_label", -1).alias("pos"), "key", "kind", "value", *columns_of(grouped, 6))
+        else:
+            grouped = rows.groupBy(row_id).agg(F.lit(None).alias("_none"), *scalars).drop("_none")
+            out[name] = grouped.select(row_id, F.lit("").alias("node"), *columns_of(grouped, 1))
+    return out
+
+
+def columns_of(df: DataFrame, after: int) -> list[str]:
+    """The columns after so many, quoted."""
+    return [f"`{c}`" for c in df.columns[after:]]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.operators.cells import split_cells
-from hustings.operators.dewey import record_nodes, record_tables
+from hustings.operators.dewey import RECORD_KEYED, record_nodes, record_tables, tables_by_path
 from hustings.operators.drift import drift, fused_schema, leaves, tagged_union, value_kind
 from hustings.operators.snapshots import changed_values, snapshot_changes
 from hustings.session import table
@@ -33,6 +33,15 @@ def _record_table(name: str):
     return lambda spark, sf_dir: record_tables(table(spark, sf_dir, "municipality_doc"))[name]
 
 
+def p3_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables that the records' schema paths come to: rows, linked rows and filled cells of each."""
+    counts = []
+    for name, rows in tables_by_path(table(spark, sf_dir, "municipality_doc"), "record_id", "races", RECORD_KEYED).items():
+        cells = sum((F.col(f"`{c}`").isNotNull().cast("bigint") for c in rows.columns if c not in ("record_id", "node", "parent", "parent_table", "pos", "key", "kind") and not c.endswith("_kind")), F.lit(0))
+        counts.append(rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(cells), F.lit(0)).alias("cells")).select(F.lit(name).alias("table"), "n", "cells"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each change of a field between consecutive builds of a municipality."""
     return drift(table(spark, sf_dir, "served_raw"))
@@ -71,6 +80,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     **{f"p3_{name}": _record_table(name) for name in ("race", "district", "name")},
+    "p3_tables": p3_tables,
     "p4_found": p4_found,
     "p4_union": p4_union,
     "p4_schema": p4_schema,

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from hustings.operators.dewey import nodes, parent_label, record_nodes, record_tables
+from hustings.operators.dewey import nodes, parent_label, record_nodes, record_tables, tables_by_path
 
 RECORD = {
     "mayor": [{"office": "Mayor", "n_districts": "1", "max_votes": None, "districts": {"At-large": ["A, B", {"name_raw": "C"}, None]}}],
@@ -54,3 +54,35 @@ def test_repeated_member_and_empty_table(spark):
     df = spark.createDataFrame([(1, '{"a": [{}], "b": [{}], "a": [{}, {}]}')], "record_id bigint, races string")
     assert sorted((r["race_key"], r["race_pos"]) for r in record_nodes(df).collect()) == [("a", 0), ("a", 1), ("b", 0)]
     assert record_nodes(df.limit(0)).collect() == []
+
+
+def test_tables_of_any_document(spark):
+    docs = [
+        {"title": "a", "meta": {"by": {"name": "x", "year": 2026}}, "items": [{"n": 1, "tags": ["p", "q"], "deep": {"er": True}}, {"n": "two"}, 7, None], "groups": {"k 1": {"n": 5}, "k 2": {"n": None, "list": [[1, 2], []]}}},
+        {"title": None, "items": {"odd": 1}, "node": "taken"},
+        [1, {"z": 2}],
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(7, None), (8, "{oops"), (9, "5")], "doc bigint, body string").withColumn("path", F.lit(0))
+    tables = tables_by_path(df, "doc", "body", keyed=["groups"])
+    rows = {name: [r.asDict() for r in t.collect()] for name, t in tables.items()}
+    assert set(rows) == {"document", "items_item", "items_item_tags_item", "groups_each", "groups_each_list_item", "groups_each_list_item_item", "item"}
+    first = next(r for r in rows["document"] if r["doc"] == 0)
+    assert (first["title"], first["meta_by_name"], first["meta_by_year"]) == ("a", "x", "2026")
+    second = next(r for r in rows["document"] if r["doc"] == 1)
+    assert (second["title"], second["items_odd"], second["node_2"]) == (None, "1", "taken")
+    items = {r["pos"]: r for r in rows["items_item"]}
+    assert (items[0]["n"], items[0]["n_kind"], items[0]["deep_er"], items[1]["n_kind"], items[2]["value"], items[3]["kind"]) == ("1", "number", "true", "string", "7", "null")
+    assert {(r["value"], r["parent"]) for r in rows["items_item_tags_item"]} == {("p", items[0]["node"]), ("q", items[0]["node"])}
+    groups = {r["key"]: r for r in rows["groups_each"]}
+    assert groups["k 1"]["n"] == "5" and {r["parent"] for r in rows["groups_each_list_item"]} == {groups["k 2"]["node"]}
+    # Links lead to rows, and no scalar of a document is lost.
+    for r in (r for name, t in rows.items() if name != "document" for r in t):
+        assert r["parent"] in {p["node"] for p in rows[r["parent_table"]] if p["doc"] == r["doc"]}
+    fixed = ("doc", "node", "parent", "parent_table", "pos", "key", "kind")
+    held = sum(v is not None for t in rows.values() for r in t for c, v in r.items() if c not in fixed and not c.endswith("_kind"))
+
+    def scalars(x):
+        return sum(map(scalars, x.values() if isinstance(x, dict) else x)) if isinstance(x, (dict, list)) else x is not None
+
+    assert held == sum(map(scalars, docs))
+    assert {n: t.count() for n, t in tables_by_path(df.limit(0), "doc", "body").items()} == {"document": 0}
