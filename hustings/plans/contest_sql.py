@@ -17,12 +17,13 @@ def rank(c: str, order) -> str:
     return f"CASE {c} " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(order)) + f" ELSE {len(order)} END"
 
 
-#: latest: the records; race, district, name: their parts; contest: one row per district; kept: without the excluded ones.
-CONTEST = f"""
+def _parts(known: str, newest: str) -> str:
+    """latest: the records; race, district, name: their parts."""
+    return f"""
     readable AS (SELECT *, CASE WHEN json_valid(ltrim(races, chr(65279))) THEN CASE WHEN json_type(ltrim(races, chr(65279))) = 'VARCHAR' THEN ltrim(races, chr(65279))::JSON->>'$' ELSE ltrim(races, chr(65279)) END END AS body
-        FROM municipality_doc WHERE census_id IS NOT NULL AND races IS NOT NULL),
+        FROM municipality_doc WHERE {known}races IS NOT NULL),
     latest AS (SELECT record_id, census_id, csdname, name_format, coalesce(notes['retrieved'], '{C.RETRIEVED}') AS retrieved, CASE WHEN json_valid(body) THEN body::JSON END AS doc FROM readable WHERE body IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY census_id ORDER BY received_at DESC NULLS LAST, record_id DESC NULLS LAST) = 1),
+        {newest}),
     keyed AS (SELECT record_id, e.key AS race_key, e.value AS v FROM (SELECT * FROM latest WHERE json_type(doc) = 'OBJECT'), json_each(doc) e),
     races AS (SELECT record_id, race_key, 0 AS race_pos, v AS j FROM keyed WHERE json_type(v) = 'OBJECT'
         UNION ALL SELECT record_id, race_key, e.rowid, e.value FROM (SELECT * FROM keyed WHERE json_type(v) = 'ARRAY'), json_each(v) e WHERE json_type(e.value) = 'OBJECT'),
@@ -35,7 +36,11 @@ CONTEST = f"""
             FROM (SELECT * FROM race WHERE json_type(d) = 'ARRAY'), json_each(d) e WHERE json_type(e.value) <> 'NULL'),
     listed AS (SELECT *, CASE json_type(v) WHEN 'ARRAY' THEN v WHEN 'OBJECT' THEN v->'candidates' END AS l FROM district),
     name AS (SELECT record_id, race_key, race_pos, district_pos, e.rowid AS cand_pos, CASE json_type(e.value) WHEN 'VARCHAR' THEN e.value->>'$' WHEN 'OBJECT' THEN CASE WHEN json_type(e.value->'name_raw') = 'VARCHAR' THEN e.value->>'name_raw' END END AS name_raw
-        FROM (SELECT * FROM listed WHERE json_type(l) = 'ARRAY'), json_each(l) e WHERE json_type(e.value) <> 'NULL'),
+        FROM (SELECT * FROM listed WHERE json_type(l) = 'ARRAY'), json_each(l) e WHERE json_type(e.value) <> 'NULL')"""
+
+
+#: contest: one row per district of the newest record of each municipality; kept: without the excluded ones.
+CONTEST = f"""{_parts("census_id IS NOT NULL AND ", "QUALIFY row_number() OVER (PARTITION BY census_id ORDER BY received_at DESC NULLS LAST, record_id DESC NULLS LAST) = 1")},
     counted AS (SELECT record_id, race_key, race_pos, district_pos, count(*) FILTER (WHERE NOT coalesce(regexp_matches(name_raw, '(?i)withdraw'), false)) AS n, count(*) FILTER (WHERE regexp_matches(name_raw, '(?i)withdraw')) AS n_withdrawn FROM name GROUP BY ALL),
     contest AS (SELECT census_id, csdname, name_format, retrieved, record_id, race_key, race_pos, district_pos, office, coalesce(told_scope, CASE race_key WHEN 'ward' THEN 'Ward' ELSE 'At-large' END) AS scope, told_districts, seats, max_votes, district,
         coalesce(n, 0) AS n, coalesce(n_withdrawn, 0) AS n_withdrawn, {case("race_key", C.STEM.items())} AS stem
@@ -86,6 +91,8 @@ _RULES = {
 }
 
 ORACLE = {
+    "p3_found": f"""WITH {_parts("", "")} SELECT record_id, race_key, race_pos, -1 AS district_pos, -1 AS cand_pos FROM races UNION ALL SELECT record_id, race_key, race_pos, district_pos, -1 FROM district
+        UNION ALL SELECT record_id, race_key, race_pos, district_pos, cand_pos FROM name""",
     "d1_contest_counts": f"""WITH {CONTEST} SELECT census_id, csdname, race_key, office, scope, district, n, retrieved,
         row_number() OVER (ORDER BY n DESC, csdname NULLS LAST, {rank("race_key", C.BALLOT)}, office NULLS LAST, told_districts NULLS LAST, district_pos, census_id, race_key, race_pos) AS place FROM kept""",
     "d2_served_fields": f"WITH {CONTEST}, {SERVED}, {FIELDS} SELECT census_id, ward, stem, half, served, accl, max_votes FROM fields",
