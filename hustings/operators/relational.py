@@ -199,6 +199,12 @@ def collated(value: str | Column, collation: str = "UNICODE") -> Column:
     return F.collate(value if isinstance(value, Column) else F.col(value), collation)
 
 
+def in_order(marks: str, collation: str = "UNICODE") -> Column:
+    """An array of places: where the collation puts each of the marks, between two letters, among all of them."""
+    held = F.array(*(F.collate(F.lit(f"A{m}A"), collation) for m in marks))
+    return F.transform(held, lambda x: F.size(F.filter(held, lambda y: y <= x)))
+
+
 def enum_rank(value: str, order: Sequence[str]) -> Column:
     """The place of a value in a list from 1; what isn't in it comes after."""
     at = F.array_position(F.array(*map(F.lit, order)), F.col(value))

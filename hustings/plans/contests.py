@@ -234,7 +234,7 @@ def judgement_calls(tables: dict[str, DataFrame], records: DataFrame, ranks: Dat
     return calls.select("record_id", "name_raw", "call.token", "call.surname_like", "call.why")
 
 
-def _flow(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+def flow(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     """The newest records, their tables, and their contests, which are asked several times over and kept: one row per district."""
     records = latest_records(table(spark, sf_dir, "municipality_doc"))
     tables = record_tables(records)
@@ -243,41 +243,41 @@ def _flow(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFr
 
 def d1_contest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of the contests that aren't excluded, in order over all of them."""
-    return contest_counts(kept_contests(_flow(spark, sf_dir)[2], excluded_races(spark)))
+    return contest_counts(kept_contests(flow(spark, sf_dir)[2], excluded_races(spark)))
 
 
 def d2_served_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each ward is served."""
-    return served_fields(kept_contests(_flow(spark, sf_dir)[2], excluded_races(spark)))
+    return served_fields(kept_contests(flow(spark, sf_dir)[2], excluded_races(spark)))
 
 
 def d3_served_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The names each ward is served, in order."""
-    _, tables, contest = _flow(spark, sf_dir)
+    _, tables, contest = flow(spark, sf_dir)
     return served_names(kept_contests(contest, excluded_races(spark)), tables)
 
 
 def d4_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each rule is broken."""
-    contest = _flow(spark, sf_dir)[2]
+    contest = flow(spark, sf_dir)[2]
     return K.summary(rules(contest, table(spark, sf_dir, "municipality_type"), table(spark, sf_dir, "election_structure"), excluded_races(spark)))
 
 
 def d5_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each exclusion removes."""
-    return excluded_counts(_flow(spark, sf_dir)[2], excluded_races(spark))
+    return excluded_counts(flow(spark, sf_dir)[2], excluded_races(spark))
 
 
 def d6_structure_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each race with its row of the structure table and the sources told there."""
-    contest, excluded = _flow(spark, sf_dir)[2], excluded_races(spark)
+    contest, excluded = flow(spark, sf_dir)[2], excluded_races(spark)
     rows = structure_rows(kept_contests(contest, excluded), kept_contests(table(spark, sf_dir, "election_structure"), excluded))
     return rows.withColumns({c: F.array_join(c, " ") for c in ("district_source_url", "max_votes_source")})
 
 
 def d7_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, exclusions and widest lists of a run."""
-    return run_report(_flow(spark, sf_dir)[2], excluded_races(spark))
+    return run_report(flow(spark, sf_dir)[2], excluded_races(spark))
 
 
 QUERIES = {f.__name__: f for f in (d1_contest_counts, d2_served_fields, d3_served_names, d4_violations, d5_exclusions, d6_structure_rows, d7_run_report)}

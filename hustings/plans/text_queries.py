@@ -323,3 +323,26 @@ def assemble_text(spark, t):
     votes = F.when(F.col("max_votes") > 1, F.concat(F.lit("up to "), F.col("max_votes").cast("string"), F.lit(" votes"))).when(F.col("max_votes") == 1, "one vote").otherwise("votes unknown")
     built = F.concat(F.lit("built "), F.date_format(F.lit("2026-08-18").cast("date"), "yyyy-MM-dd"))
     return t("council_races").select("row_id", F.concat_ws(" - ", "csdname", votes, built).alias("line"))
+
+
+@query(
+    "q60_map_union",
+    """SELECT entry_id, cardinality(m)::BIGINT AS n, len(m['mayor'])::BIGINT AS n_mayor, len(m['coun_ward'])::BIGINT AS n_ward, list_sort(map_keys(m))[1] AS least FROM
+    (SELECT entry_id, map_concat(map {'mayor': coalesce(mayor, []), 'dep_mayor': coalesce(dep_mayor, [])}, map {'coun_ward': coalesce(coun_ward, []), 'coun_reg': coalesce(coun_reg, [])}) AS m FROM served_entry)""",
+)
+def map_union(spark, t):
+    """The shared half and the ward's own as one map."""
+    held = lambda c: (F.lit(c), F.coalesce(F.col(c), F.array().cast("array<string>")))
+    m = F.map_concat(F.create_map(*held("mayor"), *held("dep_mayor")), F.create_map(*held("coun_ward"), *held("coun_reg")))
+    size = lambda c: F.size(F.element_at(m, F.lit(c))).cast("bigint")
+    return t("served_entry").select("entry_id", F.size(m).cast("bigint").alias("n"), size("mayor").alias("n_mayor"), size("coun_ward").alias("n_ward"), F.array_sort(F.map_keys(m))[0].alias("least"))
+
+
+@query(
+    "q61_punctuation_probe",
+    """SELECT mark, row_number() OVER (ORDER BY 'A' || mark || 'A' COLLATE en)::BIGINT AS place FROM (SELECT unnest([' ', '-', ',', '.', chr(39), '’', '(', ')']) AS mark)""",
+)
+def punctuation_probe(spark, t):
+    """Where the collation of names puts each mark that a name may hold: the order they are listed in."""
+    marks = F.array(*map(F.lit, N.PUNCTUATION))
+    return spark.range(1).select(F.explode(F.arrays_zip(marks.alias("mark"), R.in_order(N.PUNCTUATION).alias("place"))).alias("m")).select("m.mark", F.col("m.place").cast("bigint").alias("place"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -35,9 +36,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; where it is unset, as in tests, one of our own."""
+    """The folder the cluster names in spark.checkpoint.dir; where it is unset, as in tests on a local master, one of our own.
+
+    A folder of the driver's own machine is of no use to executors elsewhere, so off a local master the setting must be there.
+    """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if not named:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share: the master is {master}")
         named = tempfile.mkdtemp(prefix="hustings-")
         atexit.register(shutil.rmtree, named, True)
         spark.conf.set(CHECKPOINT_DIR, named)

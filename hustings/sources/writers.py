@@ -84,12 +84,26 @@ def as_csv_columns(df: DataFrame, columns: Sequence[str], null: str = "") -> Dat
     return df.select(*map(text, columns))
 
 
-def write_csv(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str] = (), null: str = "") -> None:
-    """A CSV with a header and the stated columns; ordered over all of its files, whose names follow the order."""
+def write_csv(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str] = (), null: str = "", single: bool = False) -> None:
+    """A CSV with a header and the stated columns; ordered over all of its files, whose names follow the order.
+
+    ``single``: one file of that name, written by one process and refused beyond ``SINGLE_FILE_ROWS`` rows.
+    """
+    spark = df.sparkSession
     rows = as_csv_columns(df.orderBy(*order) if order else df, columns, null)
+    if single and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for one file; write them as a folder")
     scratch = _scratch(path)
-    rows.write.options(header=True, quote='"', escape='"', emptyValue="").csv(scratch)
-    replace_path(df.sparkSession, scratch, path)
+    (rows.coalesce(1) if single else rows).write.options(header=True, quote='"', escape='"', emptyValue="").csv(scratch)
+    if not single:
+        replace_path(spark, scratch, path)
+        return
+    fs, folder = file_system(spark, scratch)
+    part = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    try:
+        replace_path(spark, part.toString(), path)
+    finally:
+        fs.delete(folder, True)
 
 
 def write_all(rules: Iterable[Rule], writes: Sequence[tuple]) -> DataFrame:
@@ -101,7 +115,12 @@ def write_all(rules: Iterable[Rule], writes: Sequence[tuple]) -> DataFrame:
 
 
 def nested_map(df: DataFrame, keys: Sequence[str], key: str, value: str, order: str, name: str) -> DataFrame:
-    """One row per key with a map of its rows in order; the key within it must be unique, as a map can't hold it twice."""
+    """One row per key with a map of its rows in order; the key within it must be unique, as a map can't hold it twice.
+
+    Without keys the whole table would be one map in one task, so there must be some.
+    """
+    if not keys:
+        raise ValueError("a nested map needs keys to nest by")
     entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(key).alias("k"), F.col(value).alias("v"))))
     return df.groupBy(*keys).agg(F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"], e["v"]))).alias(name))
 
