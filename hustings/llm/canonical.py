@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hustings.operators.relational import control
 from hustings.session import materialise, spread
 
 # Letters that look like a Latin letter, after the confusables of Unicode Technical Standard 39.
@@ -175,29 +176,29 @@ def _hashed(columns: Sequence[str], seed: str) -> Column:
 
 
 def _members(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequence[str]) -> DataFrame:
-    """(id, g1, g2, w1, w2): rows of classes that are written in several ways; 128 bits for the class, 128 for the writing, no text.
+    """(id, g1, g2, w, n): rows of classes that are written in several ways; 128 bits for the class, 64 for the writing within it, no text.
 
-    A class is ``same`` and the comparison keys of ``looks``.
+    A class is ``same`` and the comparison keys of ``looks``.  Classes are looked for by the first 64 bits, which at worst keeps a row too
+    many, and the rows are picked without a shuffle while the classes are few, which is counted.
     """
     s, c, x = ([f"{p}{i}" for i in range(len(n))] for p, n in (("s", same), ("c", looks), ("x", looks)))
     rows = spread(df).select(F.col(row_id).alias("id"), *(F.col(n).alias(a) for n, a in zip(same, s)), *(F.col(n).alias(a) for n, a in zip(looks, x))).dropna()
     rows = rows.select("id", *s, *x, *(canonical_text(F.col(a), single_line=True).alias(b) for a, b in zip(x, c)))
-    rows = materialise(rows.select("id", *(_hashed([*s, *c], seed).alias(f"g{seed}") for seed in "12"), *(_hashed(x, seed).alias(f"w{seed}") for seed in "12")))
-    written = F.struct("w1", "w2")
-    several = rows.groupBy("g1", "g2").agg(F.min(written).alias("least"), F.max(written).alias("most"), F.count(F.lit(1)).alias("n")).filter("least <> most").select("g1", "g2", "n")
-    # A row repeated under one id is one row.
-    return rows.join(several, ["g1", "g2"]).dropDuplicates(["g1", "g2", "id", "w1", "w2"])
+    rows = materialise(rows.select("id", *(_hashed([*s, *c], seed).alias(f"g{seed}") for seed in "12"), _hashed(x, "w").alias("w")))
+    several = rows.groupBy("g1").agg(F.min("w").alias("least"), F.max("w").alias("most"), F.count(F.lit(1)).alias("n")).filter("least <> most").select("g1", "n")
+    return rows.join(control(materialise(several)), "g1")
 
 
 def lookalike_classes(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequence[str]) -> DataFrame:
     """(class_id, id, writing): the rows of every class that is written in several ways; ``class_id`` is its least id, ``writing`` the least id written so.
 
-    As large as its part of the input, however many pairs a class holds.  Rows with a null in any of these columns are in no class.
+    As large as its part of the input, however many pairs a class holds.  Rows with a null in any of these columns are in no class;
+    a row repeated under one id is one row.
     """
-    members = materialise(_members(df, row_id, same, looks))
-    classes = members.groupBy("g1", "g2", "w1", "w2").agg(F.min("id").alias("writing"))
-    least = classes.groupBy("g1", "g2").agg(F.min("writing").alias("class_id"))
-    return members.join(classes, ["g1", "g2", "w1", "w2"]).join(least, ["g1", "g2"]).select("class_id", F.col("id").alias(row_id), "writing")
+    members = materialise(_members(df, row_id, same, looks).select("id", "g1", "g2", "w").dropDuplicates())
+    classes = members.groupBy("g1", "g2", "w").agg(F.min("id").alias("writing"))
+    least = classes.groupBy("g1", "g2").agg(F.min("writing").alias("class_id"), F.count(F.lit(1)).alias("writings")).filter("writings > 1").drop("writings")
+    return members.join(classes, ["g1", "g2", "w"]).join(least, ["g1", "g2"]).select("class_id", F.col("id").alias(row_id), "writing")
 
 
 def lookalike_pairs(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequence[str], paired_together: int = PAIRED_TOGETHER) -> DataFrame:
@@ -207,8 +208,8 @@ def lookalike_pairs(df: DataFrame, row_id: str, same: Sequence[str], looks: Sequ
     out before any pairing; rows written alike never pair, so what a class gives is as large as the result.  Large classes are
     split, one side by a salt that the other side is repeated for.  A row repeated under one id pairs as one.
     """
-    members = materialise(_members(df, row_id, same, looks).withColumn("salts", F.greatest(F.lit(1), F.ceil(F.col("n") / paired_together)).cast("int")))
+    members = materialise(_members(df, row_id, same, looks).withColumn("salts", F.greatest(F.lit(1), F.ceil(F.col("n") / paired_together)).cast("int")).drop("n"))
     a = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts").cast("bigint")).cast("int")).alias("a")
     b = members.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("b")
-    meet = "a.g1 = b.g1 AND a.g2 = b.g2 AND a.salt = b.salt AND a.id < b.id AND (a.w1 <> b.w1 OR a.w2 <> b.w2)"
-    return a.join(b, F.expr(meet)).select(F.col("a.id").alias(f"{row_id}_a"), F.col("b.id").alias(f"{row_id}_b"))
+    pairs = a.join(b, F.expr("a.g1 = b.g1 AND a.g2 = b.g2 AND a.salt = b.salt AND a.id < b.id AND a.w <> b.w"))
+    return pairs.select(F.col("a.id").alias(f"{row_id}_a"), F.col("b.id").alias(f"{row_id}_b")).distinct()
