@@ -74,8 +74,17 @@ def tokens(cell: Column, kind: str) -> Column:
 
 
 def _separates(token: Column, kind: str) -> Column:
-    """Whether a token is a run of separators; a quoted value isn't, nor are blanks alone."""
-    return token.rlike(rf"^[{_BLANK}]*[{_parts(kind)['any']}]")
+    """Whether a token is a run of separators; a quoted value isn't, nor are blanks alone.  Values begin with neither."""
+    first = F.substring(token, 1, 1)
+    held = F.lit(LIST_SEPARATORS if kind == "list" else SOURCE_SEPARATORS)
+    return F.when(held.contains(first), F.lit(True)).when(F.lit(_BLANK).contains(first), F.translate(token, _BLANK, "") != "").otherwise(False)
+
+
+def _cuts(token: Column, after: Column, kind: str) -> Column:
+    """Whether a token may cut: a run of separators or, in sources, a blank before a new address."""
+    if kind == "list":
+        return _separates(token, kind)
+    return _separates(token, kind) | F.when(F.lit(_BLANK).contains(F.substring(token, 1, 1)), F.coalesce(after.rlike(rf'^["“]?{_ADDRESS}'), F.lit(False))).otherwise(False)
 
 
 def _list_kind(token: Column, after: Column) -> Column:
@@ -93,13 +102,14 @@ def _list_kind(token: Column, after: Column) -> Column:
     return F.concat(weak, F.substring(F.lit("abcdefghijklmnop"), place + 1, F.lit(1)), F.when(spaced, "1").otherwise("0"))
 
 
+def _tight(token: Column, after: Column) -> Column:
+    """Whether a separator that cuts may yet belong to an address: neither a blank, a line end nor a new address follows."""
+    return ~F.lit(_BLANK).contains(F.substring(token, -1, 1)) & ~token.contains("\n") & ~token.contains("\t") & F.coalesce(~after.rlike(rf'^["“]?{_ADDRESS}'), F.lit(False))
+
+
 def _source_mask(token: Column, after: Column) -> Column:
     """One character a token: U an address, a another value, s a separator that is sure to separate, t one that may belong to an address."""
-    address = rf'^["“]?{_ADDRESS}'
-    follows = F.coalesce(after.rlike(address), F.lit(False))
-    sure = token.rlike(rf"[\n\t]|[{_BLANK}]$") | follows | after.isNull()
-    gap = token.rlike(rf"^[{_BLANK}]") & follows
-    return F.when(_separates(token, "source"), F.when(sure, "s").otherwise("t")).when(gap, "s").when(token.rlike(address), "U").otherwise("a")
+    return F.when(_cuts(token, after, "source"), F.when(_tight(token, after), "t").otherwise("s")).when(token.rlike(rf'^["“]?{_ADDRESS}'), "U").otherwise("a")
 
 
 def resolve_list(skeleton: str, excess: int) -> list[str]:
@@ -107,8 +117,6 @@ def resolve_list(skeleton: str, excess: int) -> list[str]:
 
     ``skeleton``: the kinds with their counts, such as ``0c1*3 2h1*2``.  Exact for any number of kinds; nothing if no choice fits.
     """
-    if not excess:
-        return []
     kinds = sorted(((k, int(n)) for k, n in (x.split("*") for x in skeleton.split(" ") if "*" in x)), reverse=True)
     # The best choice among the kinds from each on, for every number of values left out; the strongest kinds come in first.
     best: dict[int, tuple[str, ...]] = {0: ()}
@@ -135,34 +143,43 @@ def resolve_source(skeleton: str) -> list[int]:
 def _resolved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         lists = pdf["kind"] == "list"
-        pdf["left_out"] = [resolve_list(s, int(n)) if known else [] for known, s, n in zip(lists, pdf["skeleton"], pdf["excess"])]
-        pdf["cuts"] = [[] if known else resolve_source(s) for known, s in zip(lists, pdf["skeleton"])]
+        pdf["left_out"] = [resolve_list(s, int(n)) if known and n else [] for known, s, n in zip(lists, pdf["skeleton"], pdf["excess"])]
+        # Where nothing is in doubt every separator separates, and no places are needed.
+        pdf["cuts"] = [resolve_source(s) if not known and "t" in s else None for known, s in zip(lists, pdf["skeleton"])]
         yield pdf[["kind", "skeleton", "excess", "left_out", "cuts"]]
 
 
 def split_rules(skeletons: DataFrame) -> DataFrame:
-    """The rule of each distinct (kind, skeleton, excess): kinds of separators left out, or the places of those that separate."""
+    """The rule of each distinct (kind, skeleton, excess): the kinds of separators left out, or the places of those that separate."""
     return skeletons.mapInPandas(_resolved, "kind string, skeleton string, excess int, left_out array<string>, cuts array<int>")
 
 
 def skeletons(df: DataFrame, kind: str) -> DataFrame:
-    """(row_id, cell, n) with ``tokens``, ``marks`` (a separator's kind, or null), ``skeleton`` and ``excess``; null where nothing separates."""
+    """(row_id, cell, n) with ``tokens``, ``cut`` (whether each may cut), ``kinds`` (of separators), ``skeleton`` and ``excess``; null where nothing separates.
+
+    Where nothing is in doubt the skeleton is the separators that occur, each once; else, in lists, the kinds of separators with
+    their counts, and in sources the mask of the whole cell.
+    """
     p = _parts(kind)
     opening = rf"[{_BLANK}][\"“]?{_ADDRESS}"
     # A separator at the end of a cell belongs to no value.
     bare = F.regexp_replace("cell", rf"^[{p['any']}{_BLANK}]+|[{p['any']}{_BLANK}]+$", "")
-    several = bare.rlike(rf"[{p['any']}]" if kind == "list" else rf"[{p['any']}]|{opening}")
-    out = df.withColumn("bare", bare).withColumn("tokens", F.when(several & F.col("json").isNull(), tokens(bare, kind)))
+    several = F.col("bare").rlike(rf"[{p['any']}]" if kind == "list" else rf"[{p['any']}]|{opening}")
+    out = df.withColumn("bare", bare).withColumn("tokens", F.when(several & F.col("json").isNull(), tokens(F.col("bare"), kind)))
     after = lambda i: F.get("tokens", i + 1)
+    out = out.withColumn("cut", F.transform("tokens", lambda t, i: _cuts(t, after(i), kind)))
+    separators = F.array_distinct(F.filter("tokens", lambda t, i: F.get("cut", i)))
+    plain = F.array_join(F.array_sort(separators), "·")
     if kind == "source":
-        marks = F.transform("tokens", lambda t, i: _source_mask(t, after(i)))
-        return out.withColumn("marks", marks).withColumn("skeleton", F.array_join("marks", "")).withColumn("excess", F.lit(0))
-    out = out.withColumn("marks", F.transform("tokens", lambda t, i: F.when(_separates(t, kind), _list_kind(t, after(i)))))
-    out = out.withColumn("kinds", F.array_compact("marks"))
-    values = F.size("kinds") + 1 - F.size(F.filter("tokens", lambda t: t.isin('""', "“”")))
+        doubt = F.exists(F.filter(F.transform("tokens", lambda t, i: F.when(F.get("cut", i), _tight(t, after(i)))), lambda x: x.isNotNull()), lambda x: x)
+        masked = F.array_join(F.transform("tokens", lambda t, i: _source_mask(t, after(i))), "")
+        return out.withColumn("skeleton", F.when(doubt, masked).otherwise(F.regexp_replace(plain, "t", ""))).withColumn("excess", F.lit(0)).withColumn("kinds", F.lit(None).cast("array<string>"))
+    values = F.size(F.filter("cut", lambda c: c)) + 1 - F.size(F.filter("tokens", lambda t: t.isin('""', "“”")))
     out = out.withColumn("excess", F.when(F.col("n") >= 1, F.greatest(F.lit(0), values - F.col("n"))).otherwise(0))
-    counted = F.transform(F.array_sort(F.array_distinct("kinds")), lambda k: F.when(F.col("excess") > 0, F.concat(k, F.lit("*"), F.size(F.filter("kinds", lambda x: x == k)).cast("string"))).otherwise(k))
-    return out.withColumn("skeleton", F.array_join(counted, " ")).drop("kinds")
+    out = out.withColumn("kinds", F.when(F.col("excess") > 0, F.transform("tokens", lambda t, i: F.when(F.get("cut", i), _list_kind(t, after(i))))))
+    present = F.array_compact("kinds")
+    counted = F.transform(F.array_sort(F.array_distinct(present)), lambda k: F.concat(k, F.lit("*"), F.size(F.filter("kinds", lambda x: x == k)).cast("string")))
+    return out.withColumn("skeleton", F.when(F.col("excess") > 0, F.array_join(counted, " ")).otherwise(plain))
 
 
 def _unquoted(v: Column) -> Column:
@@ -192,13 +209,17 @@ def split_cells(df: DataFrame, row_id: str, cell: str, kind: str, count: str | N
     cells = skeletons(cells, kind)
     distinct = cells.filter("skeleton IS NOT NULL").select(F.lit(kind).alias("kind"), "skeleton", "excess").distinct()
     rules = materialise(split_rules(distinct)).select(F.col("skeleton").alias("rule_skeleton"), F.col("excess").alias("rule_excess"), "left_out", "cuts")
-    size = rules.agg(F.sum(F.length("rule_skeleton") * 4 + F.size("left_out") * 16 + F.size("cuts") * 8 + 96)).first()[0] or 0
+    size = rules.agg(F.sum(F.length("rule_skeleton") * 4 + F.size("left_out") * 16 + F.coalesce(F.size("cuts"), F.lit(0)) * 8 + 96)).first()[0] or 0
     rules = F.broadcast(rules) if size <= broadcast_bytes else rules
     ruled = cells.join(rules, (F.col("skeleton") == F.col("rule_skeleton")) & (F.col("excess") == F.col("rule_excess")), "left")
-    places = F.sequence(F.lit(1), F.size("tokens"))
-    chosen = F.col("cuts") if kind == "source" else F.filter(places, lambda i: F.get("marks", i - 1).isNotNull() & ~F.array_contains("left_out", F.get("marks", i - 1)))
+    every = F.filter(F.sequence(F.lit(1), F.size("tokens")), lambda i: F.get("cut", i - 1))
+    left = F.filter(every, lambda i: ~F.array_contains("left_out", F.get("kinds", i - 1)))
+    chosen = F.when(F.col("cuts").isNotNull(), F.col("cuts")).when(F.size("left_out") > 0, left).otherwise(every)
     ruled = ruled.withColumn("at", F.concat(F.array(F.lit(0)), chosen, F.array(F.size("tokens") + 1)))
     spans = F.zip_with(F.slice("at", 1, F.size("at") - 1), F.slice("at", 2, F.size("at") - 1), lambda a, b: F.array_join(F.slice("tokens", a + 1, b - a - 1), ""))
+    # Values and separators in turn, all of which separate: the values are what is left without them.
+    in_turn = F.col("cuts").isNull() & (F.size("left_out") == 0) & (F.size("tokens") == 2 * F.size(F.filter("cut", lambda c: c)) + 1)
+    spans = F.when(in_turn, F.filter("tokens", lambda t, i: ~F.get("cut", i))).otherwise(spans)
     split = F.when(F.col("tokens").isNull(), F.array("bare")).otherwise(spans)
     by_position = F.transform(F.when(F.col("json").isNull(), split), lambda v: _unquoted(v))
     values = F.filter(F.coalesce(F.transform("json", lambda v: F.regexp_replace(F.coalesce(v, F.lit("")), _TRIM, "")), by_position), lambda v: v != "")

@@ -175,17 +175,22 @@ def numbered(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str
     return ranked.groupBy(*keys).agg(*(F.max(F.when(F.col("_at") == i, F.col(value))).alias(f"{name}{i}") for i in range(1, most + 1)))
 
 
-def positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Rows with their place from 1 in one order over the whole table, without one task that holds it.
+def positions(df: DataFrame, order: Sequence[Column], name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows with their place from 1 in one order over the whole table, or over each group of ``by``, without one task that holds table or group.
 
-    The table is parted by ranges of the order, places are counted within each and moved by the sizes of those before it.
+    The table is parted by ranges of group and order, places are counted within each and moved by the sizes of those before it.  Null
+    groups are a group.  A group that lies in one range needs no more than that range.
     """
-    ranged = materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    offsets = ranged.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    placed = ranged.withColumn("_own", own).join(F.broadcast(offsets), "_range")
-    return placed.withColumn(name, (F.col("_own") + F.col("_before")).cast("bigint")).drop("_range", "_own", "_before")
+    ranged = materialise(df.repartitionByRange(*map(F.col, by), *order).withColumn("_range", F.spark_partition_id()))
+    keys = [F.col(b).alias(f"_by{i}") for i, b in enumerate(by)]
+    sizes = ranged.groupBy("_range", *keys).count()
+    # One row for each range that a group lies in.
+    before = (Window.partitionBy(*(f"_by{i}" for i in range(len(by)))) if by else Window.partitionBy(F.lit(0))).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).filter("_before > 0").drop("count").withColumnRenamed("_range", "_in")
+    own = F.row_number().over(Window.partitionBy("_range", *by).orderBy(*order))
+    on = reduce(lambda x, y: x & y, (F.col(b).eqNullSafe(F.col(f"_by{i}")) for i, b in enumerate(by)), F.col("_range") == F.col("_in"))
+    placed = ranged.withColumn("_own", own).join(control(offsets), on, "left")
+    return placed.withColumn(name, (F.col("_own") + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_range", "_in", "_own", "_before", *(f"_by{i}" for i in range(len(by))))
 
 
 def bag_difference(a: DataFrame, b: DataFrame) -> DataFrame:

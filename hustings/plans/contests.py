@@ -60,7 +60,8 @@ def contests(records: DataFrame, tables: dict[str, DataFrame] | None = None) ->
     count = tables["name"].groupBy("record_id", F.col("parent").alias("node")).agg(F.count_if(~withdrawn).alias("n"), F.count_if(withdrawn).alias("n_withdrawn"))
     race = tables["race"].withColumnsRenamed({"node": "parent", "n_districts": "told_districts"})
     joined = tables["district"].join(race, ["record_id", "parent"]).join(count, ["record_id", "node"], "left")
-    retrieved = F.coalesce(F.try_element_at("notes", F.lit("retrieved")), F.lit(RETRIEVED))
+    told = F.try_element_at("notes", F.lit("retrieved")) if "notes" in records.columns else F.lit(None)
+    retrieved = F.coalesce(told, F.lit(RETRIEVED))
     about = records.select("record_id", "census_id", "csdname", "name_format", retrieved.alias("retrieved"))
     filled = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("n", "n_withdrawn")}
     filled["scope"] = F.coalesce("scope", F.when(F.col("race_key") == "ward", "Ward").otherwise("At-large"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.operators import relational as R
@@ -149,8 +149,8 @@ def denorm_guard(spark, t):
 def positional_order(spark, t):
     """Rows in the order of their municipality's position, their own order kept within."""
     position = R.positions(t("municipality_type").select("census_id", "csdname"), [F.asc_nulls_last("csdname"), F.asc("census_id")], "pos").drop("csdname")
-    place = F.row_number().over(Window.partitionBy("census_id").orderBy("row_id")).cast("bigint")
-    return t("council_races").select("row_id", "census_id").join(position, "census_id", "left").withColumn("place", place)
+    placed = R.positions(t("council_races").select("row_id", "census_id"), [F.asc("row_id")], "place", by=["census_id"])
+    return placed.join(R.control(position), "census_id", "left")
 
 
 @query(

@@ -296,8 +296,8 @@ def expected_empty(spark, t):
 )
 def ordered_keys(spark, t):
     rows = R.positions(t("served_raw").select("file_name", "census_id", "record_id", "build_no"), [F.asc("file_name"), F.asc("census_id"), F.asc("record_id")], "by_file")
-    newest = F.row_number().over(Window.partitionBy("census_id").orderBy(F.desc("build_no"), "record_id")).cast("bigint")
-    return rows.select("file_name", "census_id", "by_file", newest.alias("newest"))
+    rows = R.positions(rows, [F.desc("build_no"), F.asc("record_id")], "newest", by=["census_id"])
+    return rows.select("file_name", "census_id", "by_file", "newest")
 
 
 @query(

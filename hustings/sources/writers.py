@@ -117,10 +117,10 @@ def write_all(rules: Iterable[Rule], writes: Sequence[tuple]) -> DataFrame:
 def nested_map(df: DataFrame, keys: Sequence[str], key: str, value: str, order: str, name: str) -> DataFrame:
     """One row per key with a map of its rows in order; the key within it must be unique, as a map can't hold it twice.
 
-    Without keys the whole table would be one map in one task, so there must be some.
+    Without keys the whole table is one map in one task, which is refused beyond ``SINGLE_FILE_ROWS`` rows.
     """
-    if not keys:
-        raise ValueError("a nested map needs keys to nest by")
+    if not keys and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for one map; give keys to nest by")
     entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(key).alias("k"), F.col(value).alias("v"))))
     return df.groupBy(*keys).agg(F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"], e["v"]))).alias(name))
 

@@ -4,6 +4,7 @@ from hustings import session
 from hustings.command import dependency, main, root_of
 from hustings.functions import names as N
 from hustings.operators import relational as R
+from hustings.sources import writers
 from hustings.sources.writers import nested_map, write_csv
 
 
@@ -36,9 +37,11 @@ def test_one_file_in_order(spark, tmp_path):
     assert not [p for p in tmp_path.iterdir() if p.name.startswith(".a.csv-")]
 
 
-def test_nothing_is_nested_into_one_task(spark):
+def test_no_large_table_is_nested_into_one_task(spark, monkeypatch):
+    monkeypatch.setattr(writers, "SINGLE_FILE_ROWS", 2)
+    assert nested_map(spark.range(2), [], "id", "id", "id", "m").count() == 1
     with pytest.raises(ValueError):
-        nested_map(spark.range(2), [], "id", "id", "id", "m")
+        nested_map(spark.range(3), [], "id", "id", "id", "m")
 
 
 def test_the_collation_ranks_marks_as_listed(spark):

@@ -91,3 +91,15 @@ def test_positions(spark):
     got = R.positions(df, [F.desc("k")], "place").collect()
     assert all(r["place"] == 1000 - r["k"] for r in got) and len(got) == 1000
     assert R.positions(df.limit(0), [F.asc("k")], "place").collect() == []
+
+
+def test_positions_within_groups(spark):
+    """A third of all rows in one group, which spreads over ranges; nulls are a group; ties lie where they lie."""
+    rows = [("hot" if i % 3 == 0 else f"g{i % 11}" if i % 7 else None, i * 37 % 1000) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, k int").repartition(5)
+    got = [tuple(r) for r in R.positions(df.withColumn("_range", F.lit("kept")).drop("_range"), [F.asc("k")], "place", by=["g"]).select("g", "k", "place").collect()]
+    want = {(g, k, sum(h == g and j <= k for h, j in rows)) for g, k in rows}
+    assert set(got) == want and len(got) == 1000
+    assert R.positions(df.limit(0), [F.asc("k")], "place", by=["g"]).collect() == []
+    tied = R.positions(spark.createDataFrame([("a", 1)] * 5, "g string, k int"), [F.asc("k")], "place", by=["g"]).collect()
+    assert sorted(r["place"] for r in tied) == [1, 2, 3, 4, 5]
