@@ -155,7 +155,7 @@ def split_rules(skeletons: DataFrame) -> DataFrame:
 
 
 def skeletons(df: DataFrame, kind: str) -> DataFrame:
-    """(row_id, cell, n) with ``tokens``, ``cut`` (whether each may cut), ``kinds`` (of separators), ``skeleton`` and ``excess``; null where nothing separates.
+    """(row_id, cell, n) with ``several`` (whether something separates), ``tokens``, ``cut`` (whether each may cut), ``kinds`` (of separators), ``skeleton`` and ``excess``; null where nothing separates.
 
     Where nothing is in doubt the skeleton is the separators that occur, each once; else, in lists, the kinds of separators with
     their counts, and in sources the mask of the whole cell.
@@ -164,8 +164,8 @@ def skeletons(df: DataFrame, kind: str) -> DataFrame:
     opening = rf"[{_BLANK}][\"“]?{_ADDRESS}"
     # A separator at the end of a cell belongs to no value.
     bare = F.regexp_replace("cell", rf"^[{p['any']}{_BLANK}]+|[{p['any']}{_BLANK}]+$", "")
-    several = F.col("bare").rlike(rf"[{p['any']}]" if kind == "list" else rf"[{p['any']}]|{opening}")
-    out = df.withColumn("bare", bare).withColumn("tokens", F.when(several & F.col("json").isNull(), tokens(F.col("bare"), kind)))
+    several = F.col("bare").rlike(rf"[{p['any']}]" if kind == "list" else rf"[{p['any']}]|{opening}") & F.col("json").isNull()
+    out = df.withColumn("bare", bare).withColumn("several", several).withColumn("tokens", F.when(F.col("several"), tokens(F.col("bare"), kind)))
     after = lambda i: F.get("tokens", i + 1)
     out = out.withColumn("cut", F.transform("tokens", lambda t, i: _cuts(t, after(i), kind)))
     separators = F.array_distinct(F.filter("tokens", lambda t, i: F.get("cut", i)))
@@ -207,7 +207,8 @@ def split_cells(df: DataFrame, row_id: str, cell: str, kind: str, count: str | N
         .withColumn("json", F.when(F.col("cell").rlike(r'(?s)^\s*\[\s*(".*")?\s*\]\s*$'), F.from_json("cell", "array<string>", {"mode": "PERMISSIVE"})))
     )
     cells = skeletons(cells, kind)
-    distinct = cells.filter("skeleton IS NOT NULL").select(F.lit(kind).alias("kind"), "skeleton", "excess").distinct()
+    # Filtered by what is cheap: a filter on the skeleton would be pushed below and work it out once more.
+    distinct = cells.filter("several").select(F.lit(kind).alias("kind"), "skeleton", "excess").distinct()
     rules = materialise(split_rules(distinct)).select(F.col("skeleton").alias("rule_skeleton"), F.col("excess").alias("rule_excess"), "left_out", "cuts")
     size = rules.agg(F.sum(F.length("rule_skeleton") * 4 + F.size("left_out") * 16 + F.coalesce(F.size("cuts"), F.lit(0)) * 8 + 96)).first()[0] or 0
     rules = F.broadcast(rules) if size <= broadcast_bytes else rules
